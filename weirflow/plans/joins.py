@@ -62,15 +62,16 @@ def hot_key_join(
 
 
 def range_join_pairs(
-    df: DataFrame, keys: Sequence[str], ts: str, row_id: str, seconds: int, keep: Sequence[str]
+    df: DataFrame, keys: Sequence[str], ts: str, row_id: str, minutes: int, keep: Sequence[str]
 ) -> DataFrame:
-    """Pairs of rows with equal keys where the second is later by at most ``seconds``.
+    """Pairs of rows with equal keys where the second is later by at most ``minutes`` whole minutes.
 
     Rows meet only inside a time bucket of that width or in the next one, so work follows the rows
     near each other in time, not the square of a key. AQE splits a bucket that is still hot.
     """
+    limit = (minutes + 1) * 60_000_000  # whole minutes: 5 min 59 s still counts as 5
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    staged = df.withColumn("__us", micros).withColumn("__b", F.floor(F.col("__us") / (seconds * 1_000_000)))
+    staged = df.withColumn("__us", micros).withColumn("__b", F.floor(F.col("__us") / limit))
     first = staged.select(
         *keys, *[F.col(c).alias(f"first_{c}") for c in keep], F.col("__us").alias("__us1"),
         F.explode(F.array(F.col("__b"), F.col("__b") + 1)).alias("__b"),
@@ -81,7 +82,7 @@ def range_join_pairs(
     gap = F.col("__us2") - F.col("__us1")
     return (
         first.join(second, [*keys, "__b"])
-        .filter((gap > 0) & (gap <= seconds * 1_000_000))
+        .filter((gap > 0) & (gap < limit))
         .filter(F.col(f"first_{row_id}") != F.col(f"second_{row_id}"))
         .withColumn("seconds_apart", F.floor(gap / 1_000_000).cast("bigint"))
         .drop("__b", "__us1", "__us2")
