@@ -94,7 +94,7 @@ def public_view(t):
 def wide_table(t):
     places = joins.join_dimension(t.nation.withColumnRenamed("n_regionkey", "r_regionkey"), t.region, ["r_regionkey"], "left")
     people = joins.join_dimension(t.customer.withColumnRenamed("c_nationkey", "n_nationkey"), places, ["n_nationkey"], "left")
-    wide = joins.join_dimension(t.orders.withColumnRenamed("o_custkey", "c_custkey"), people, ["c_custkey"], "left")
+    wide = joins.join_dimension(t.orders.withColumnRenamed("o_custkey", "c_custkey"), people, ["c_custkey"], "left", size_of=t.customer)
     return wide.select(
         "o_orderkey", F.to_date("o_orderdate").alias("order_date"), F.col("o_totalprice").cast("decimal(18,2)").cast("double").alias("amount"),
         "c_name", "c_mktsegment", F.col("n_name").alias("nation"), F.col("r_name").alias("region"))
@@ -261,9 +261,9 @@ def corr_cumulative(t):
 @query("star_join", f"""SELECT r_name AS region, p_brand AS brand, CAST(year(o_orderdate) AS INTEGER) AS order_year, COUNT(*) AS line_count, {dsum('l_extendedprice')} AS revenue
  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3""")
 def star_join(t):
-    places = t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name")
-    people = t.customer.join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "r_name")
-    heads = joins.join_dimension(t.orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("order_year")), people, ["c_custkey"])
+    places = joins.join_dimension(t.nation.withColumnRenamed("n_regionkey", "r_regionkey"), t.region, ["r_regionkey"]).select("n_nationkey", "r_name")
+    people = joins.join_dimension(t.customer.withColumnRenamed("c_nationkey", "n_nationkey"), places, ["n_nationkey"]).select("c_custkey", "r_name")
+    heads = joins.join_dimension(t.orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("order_year")), people, ["c_custkey"], size_of=t.customer)
     lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("p_partkey"), "l_extendedprice")
     joined = joins.join_dimension(lines.join(heads, "o_orderkey"), t.part.select("p_partkey", "p_brand"), ["p_partkey"])
     return joined.groupBy(F.col("r_name").alias("region"), F.col("p_brand").alias("brand"), "order_year").agg(

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weirflow.plans.joins import join_dimension
 from weirflow.registry import Tables
 
 AS_OF = "1999-06-30"
@@ -134,10 +135,12 @@ cleaned AS (SELECT regexp_replace(loan_id,'[^A-Za-z0-9-]','','g') AS loan_id,
 
 def sales(t: Tables) -> DataFrame:
     """Sales transactions with the region of the customer."""
+    places = join_dimension(t.nation.withColumnRenamed("n_regionkey", "r_regionkey"), t.region, ["r_regionkey"])
+    people = join_dimension(
+        t.customer.withColumnRenamed("c_nationkey", "n_nationkey"), places.select("n_nationkey", "r_name"), ["n_nationkey"])
+    buyers = people.select(F.col("c_custkey").alias("o_custkey"), "r_name")
     return (
-        t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+        join_dimension(t.orders, buyers, ["o_custkey"], size_of=t.customer)
         .select(
             F.col("o_orderkey").alias("txn_id"), F.col("o_custkey").alias("customer_id"),
             F.col("o_totalprice").alias("amount"), F.to_date("o_orderdate").alias("txn_date"),

@@ -19,9 +19,16 @@ def small_enough(df: DataFrame) -> bool:
     return estimated_bytes(df) <= limit
 
 
-def join_dimension(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Fact to dimension: broadcast when the dimension is small, else a shuffle join whose hot partitions AQE splits."""
-    return fact.join(F.broadcast(dim) if small_enough(dim) else dim, list(on), how)
+def join_dimension(
+    fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner", *, size_of: DataFrame | None = None
+) -> DataFrame:
+    """Fact to dimension: broadcast when the dimension is small, else a shuffle join whose hot partitions AQE splits.
+
+    ``size_of`` is a frame at least as large as the dimension, for dimensions that are themselves joins
+    (Spark's estimate of a join is the product of its sides).
+    """
+    small = small_enough(dim if size_of is None else size_of)
+    return fact.join(F.broadcast(dim) if small else dim, list(on), how)
 
 
 def salted_join(
