@@ -55,6 +55,6 @@ def compare(con, df, sql) -> str | None:
         return f"columns {got_cols} != {want_cols}"
     if got == want:
         return None
-    extra = [r for r in got if r not in set(want)][:3]
-    missing = [r for r in want if r not in set(got)][:3]
+    extra = sorted(set(got) - set(want))[:3]
+    missing = sorted(set(want) - set(got))[:3]
     return f"rows {len(got)} vs {len(want)}\n  spark only: {extra}\n  sql only:   {missing}"

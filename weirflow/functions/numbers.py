@@ -25,6 +25,12 @@ def money_avg(c) -> Column:
     return rounded(F.try_divide(F.sum(money(c)).cast("double"), F.count(money(c)).cast("double")))
 
 
+def exact_avg(c) -> Column:
+    """Mean of measurements with up to six decimals, summed exactly, rounded to two."""
+    c = _col(c)
+    return rounded(F.try_divide(F.sum(c.cast("decimal(18,6)")).cast("double"), F.count(c).cast("double")))
+
+
 def rounded(c, places: int = 2) -> Column:
     """Half-up rounding through a decimal, since doubles round differently from engine to engine."""
     return F.round(_col(c).cast("decimal(20,6)"), places).cast("double")

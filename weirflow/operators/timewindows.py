@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.functions.numbers import money_avg, money_sum, rounded
+from weirflow.functions.numbers import exact_avg, money_avg, money_sum, rounded
 
 
 def _bounds(df: DataFrame, *rest) -> DataFrame:
@@ -43,7 +43,7 @@ def sensor_by_window(
     """Sliding means and extremes per sensor; device and location are those of its first reading."""
     grouped = df.groupBy(F.window(ts, length, slide), F.col(sensor).alias("sensor_id")).agg(
         F.min_by(device, ts).alias("device_id"), F.min_by(location, ts).alias("location"),
-        money_avg(temperature).alias("avg_temperature"), money_avg(humidity).alias("avg_humidity"),
+        exact_avg(temperature).alias("avg_temperature"), exact_avg(humidity).alias("avg_humidity"),
         rounded(F.max(temperature)).alias("max_temperature"), rounded(F.min(temperature)).alias("min_temperature"),
         F.count(F.lit(1)).alias("reading_count"),
     )
