@@ -15,13 +15,14 @@ from weirflow.operators import aggregate as agg
 from weirflow.operators import sessions, timewindows
 from weirflow.plans import dedup, lists
 from weirflow.plans.quantiles import exact_percentiles
+from weirflow.plans.spread import spread
 from weirflow.registry import query
 
 
 @query("word_count", r"""SELECT word, COUNT(*) AS count, CAST(length(word) AS INTEGER) AS word_length FROM
  (SELECT unnest(regexp_split_to_array(regexp_replace(lower(text), '[^\p{L}\p{M}\p{N}_\s]', '', 'g'), '\s+')) AS word FROM documents) WHERE length(word) >= 3 GROUP BY word""")
 def word_count(t):
-    return agg.word_count(t.documents, "text")
+    return agg.word_count(spread(t.documents.select("text")), "text")
 
 
 @query("metric_agg", f"""WITH {DIRTY_EVENTS_SQL}, n AS (SELECT event_type, TRY_CAST(value AS DOUBLE) AS v FROM dirty WHERE TRY_CAST(value AS DOUBLE) IS NOT NULL)

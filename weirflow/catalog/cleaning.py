@@ -14,6 +14,7 @@ from weirflow.functions.fixed import RISK_4, RISK_5, RISK_NAMED, SIZE_3, SIZE_4,
 from weirflow.functions.numbers import rounded
 from weirflow.operators import clean, enrich, parse, validate
 from weirflow.plans.dedup import latest_per_key
+from weirflow.plans.spread import spread
 from weirflow.registry import Tables, query
 
 PROPS = T.StructType([T.StructField("k", T.LongType())])
@@ -176,7 +177,7 @@ def utc_to_local(t):
 
 @query("normalize_text", r"""SELECT doc_id, regexp_replace(lower(text), '[^\p{L}\p{M}\p{N}_\s]', '', 'g') AS clean_text FROM documents WHERE trim(text) <> ''""")
 def normalize_text(t):
-    return t.documents.filter(F.trim("text") != "").select("doc_id", text.normalized("text").alias("clean_text"))
+    return spread(t.documents.select("doc_id", "text")).filter(F.trim("text") != "").select("doc_id", text.normalized("text").alias("clean_text"))
 
 
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
@@ -187,7 +188,7 @@ PHONE = r"[0-9]{3}[-. ][0-9]{3}[-. ][0-9]{4}"
  array_to_string(regexp_extract_all(text, '{PHONE}'), ';') AS phones FROM documents""")
 def extract_contacts(t):
     found = lambda p: F.concat_ws(";", F.regexp_extract_all("text", F.lit(p), F.lit(0)))
-    return t.documents.select("doc_id", found(EMAIL).alias("emails"), found(PHONE).alias("phones"))
+    return spread(t.documents.select("doc_id", "text")).select("doc_id", found(EMAIL).alias("emails"), found(PHONE).alias("phones"))
 
 
 @query("json_flatten", "SELECT event_id, json_extract_string(props, '$.k') AS k, json_extract_string(props, '$.absent') AS absent FROM events")

@@ -9,6 +9,7 @@ from weirflow.functions import scales
 from weirflow.functions.fixed import PII_PATTERNS, RISK_4
 from weirflow.operators import governance as gov
 from weirflow.operators import learning, skew
+from weirflow.plans.spread import spread
 from weirflow.registry import query
 
 
@@ -22,7 +23,7 @@ def _pii_sql() -> str:
 
 @query("pii_scan", _pii_sql())
 def pii_scan(t):
-    return gov.pii_scan(t.documents, ["text"])
+    return gov.pii_scan(spread(t.documents.select("text")), ["text"])
 
 
 @query("mask_column", "SELECT c_custkey, concat(repeat('*', least(length(c_name), 5)), substr(c_name, 6)) AS c_name FROM customer")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirflow.plans.joins import join_dimension
+from weirflow.plans.spread import spread
 from weirflow.registry import Tables
 
 AS_OF = "1999-06-30"
@@ -75,7 +76,9 @@ def raw_loans(t: Tables) -> DataFrame:
     date_text = F.lit("junk")
     for i, d in enumerate(dates):
         date_text = F.when(order % 6 == i, d).otherwise(date_text)
-    return t.lineitem.select(
+    lines = spread(t.lineitem.select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "l_shipdate"))
+    return lines.select(
         F.when(part % 11 == 0, "").otherwise(F.concat(F.lit(" "), loan_id(), F.lit("# "))).alias("loan_id"),
         F.concat(F.lit("CUST-"), F.col("l_suppkey").cast("string"), F.lit("!")).alias("customer_id"),
         F.when(part % 17 == 0, " N/A ").otherwise(F.get(types, (part % 7).cast("int"))).alias("loan_type"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.functions.numbers import exact_avg, money_avg, money_sum, rounded
+from weirflow.functions.numbers import exact_avg, money, money_avg, money_sum, rounded
 
 
 def _bounds(df: DataFrame, *rest) -> DataFrame:
@@ -17,12 +17,26 @@ def _bounds(df: DataFrame, *rest) -> DataFrame:
 
 
 def sales_by_window(df: DataFrame, ts: str, region: str, amount: str, category: str, length: str = "1 hour") -> DataFrame:
-    """Total, count, mean and most frequent category per region and window (smallest name on a tie)."""
-    grouped = df.groupBy(F.window(ts, length), F.col(region).alias("region")).agg(
-        money_sum(amount).alias("total_sales"), F.count(F.lit(1)).alias("transaction_count"),
-        money_avg(amount).alias("avg_transaction_value"), F.mode(category, True).alias("top_category"),
-    )
-    return _bounds(grouped, "region", "total_sales", "transaction_count", "avg_transaction_value", "top_category")
+    """Total, count, mean and most frequent category per region and window (smallest name on a tie).
+
+    On batch frames the categories are counted in a first hash aggregation. A stream aggregates once,
+    with a map of category counts as state, which is small as long as the categories are few.
+    """
+    window, where = F.window(ts, length), F.col(region).alias("region")
+    if df.isStreaming:
+        grouped = df.groupBy(window, where).agg(
+            F.sum(money(amount)).alias("s"), F.count(amount).alias("m"), F.count(F.lit(1)).alias("n"),
+            F.mode(category, True).alias("top_category"))
+    else:
+        per_category = df.groupBy(window, where, F.col(category).alias("c")).agg(
+            F.sum(money(amount)).alias("s"), F.count(amount).alias("m"), F.count(F.lit(1)).alias("n"))
+        known = F.when(F.col("c").isNotNull(), F.struct(-F.col("n"), F.col("c").alias("c")))
+        grouped = per_category.groupBy("window", "region").agg(
+            F.sum("s").alias("s"), F.sum("m").alias("m"), F.sum("n").alias("n"), F.min(known)["c"].alias("top_category"))
+    total = F.col("s").cast("double")
+    return _bounds(
+        grouped, "region", total.alias("total_sales"), F.col("n").alias("transaction_count"),
+        rounded(F.try_divide(total, F.col("m").cast("double"))).alias("avg_transaction_value"), "top_category")
 
 
 def sales_range_by_window(df: DataFrame, ts: str, region: str, amount: str, length: str = "1 hour") -> DataFrame:
