@@ -10,7 +10,7 @@ from weirflow.functions.fixed import RISK_5
 from weirflow.operators import sessions, timewindows
 from weirflow.plans import dedup
 from weirflow.plans.lists import ordered_lists
-from weirflow.plans.segments import running_window
+from weirflow.plans.segments import plan_cuts, running_window
 from weirflow.registry import query
 
 BOUNDS = ("window_start", "window_end")
@@ -69,12 +69,13 @@ GAP_SQL = """g AS (SELECT *, lag(ts) OVER (PARTITION BY u ORDER BY ts, event_id)
 def session_summary(t):
     """Sessions with a 30 minute gap: bounds, ordered types (in parts of 10,000) and counts per type."""
     rows = t.events.select("event_id", "ts", "user_id", "event_type")
-    marked = sessions.mark_sessions(rows, "user_id", "ts", "event_id", sessions.gap_exceeds_seconds(1800))
+    cuts = plan_cuts(rows, "ts")
+    marked = sessions.mark_sessions(rows, "user_id", "ts", "event_id", sessions.gap_exceeds_seconds(1800), cuts=cuts)
     keys = ["user_id", "session_no"]
     main = marked.groupBy(*keys).agg(
         F.min(F.struct("ts", "event_id"))["event_id"].alias("session_id"), F.min("ts").alias("session_start"), F.max("ts").alias("session_end"), F.count("*").alias("event_count"))
     counts = sessions.type_counts(marked, keys, "event_type").select(*keys, "event_summary")
-    types = ordered_lists(marked, keys, ["ts", "event_id"], {"event_types": ["event_type"]}, size_of=rows, bounds_from=rows).drop("item_count")
+    types = ordered_lists(marked, keys, ["ts", "event_id"], {"event_types": ["event_type"]}, cuts=cuts).drop("item_count")
     joined = main.join(counts, keys).join(types, keys)
     return joined.select(
         "user_id", "session_id", "session_start", "session_end", F.col("session_start").alias("window_start"),

@@ -8,7 +8,7 @@ from weirflow.catalog.standins import LOANS_SQL, SALES_SQL, loans, r2, sales
 from weirflow.functions.numbers import money, pct, rounded
 from weirflow.operators import sessions, windows
 from weirflow.plans import dedup
-from weirflow.plans.segments import frame_window, running_window
+from weirflow.plans.segments import frame_window, plan_cuts, running_window
 from weirflow.registry import query
 
 
@@ -79,13 +79,14 @@ SESSION_SQL = """g AS (SELECT *, date_sub('minute', lag(ts) OVER (PARTITION BY u
 def clickstream_sessions(t, minutes: int):
     """Sessions with their page path; a session of up to 10,000 events is one row, longer ones have parts."""
     rows = t.events.select("user_id", "ts", "event_id", "event_type")
-    marked = sessions.mark_sessions(rows, "user_id", "ts", "event_id", sessions.gap_exceeds_minutes(minutes), "session_id")
+    cuts = plan_cuts(rows, "ts")
+    marked = sessions.mark_sessions(rows, "user_id", "ts", "event_id", sessions.gap_exceeds_minutes(minutes), "session_id", cuts)
     from weirflow.plans.lists import ordered_lists
 
     summary = marked.groupBy("user_id", "session_id").agg(
         F.min("ts").alias("session_start"), F.max("ts").alias("session_end"), F.count("*").alias("events_in_session"),
     ).withColumn("session_duration_sec", F.timestamp_diff("SECOND", F.col("session_start"), F.col("session_end")))
-    paths = ordered_lists(marked, ["user_id", "session_id"], ["ts", "event_id"], {"page_path": ["event_type"]}, size_of=rows, bounds_from=rows)
+    paths = ordered_lists(marked, ["user_id", "session_id"], ["ts", "event_id"], {"page_path": ["event_type"]}, cuts=cuts)
     return summary.join(paths.drop("item_count"), ["user_id", "session_id"]).withColumn("page_path", F.concat_ws(">", "page_path"))
 
 
@@ -204,10 +205,10 @@ def rank_family(t):
     from weirflow.plans.quantiles import ntile_of
 
     rows = _orders(t).withColumn("m", money("amount"))
-    order, keys = ["order_date", "o_orderkey"], ["o_custkey"]
-    framed = frame_window(rows, keys, order, {"previous_amount": lambda w: F.lag("amount").over(w), "next_amount": lambda w: F.lead("amount").over(w)}, before=1, after=1)
-    numbered = running_window(framed, keys, order, {"rn": ("row_number", None), "s": ("sum", "m"), "n": ("total_count", None)}, size_of=rows, bounds_from=rows)
-    ranked = running_window(numbered, keys, ["order_date"], {"rnk": ("rank", None), "dense_rnk": ("dense_rank", None)}, size_of=rows, bounds_from=rows)
+    order, keys, cuts = ["order_date", "o_orderkey"], ["o_custkey"], plan_cuts(rows, "order_date")
+    framed = frame_window(rows, keys, order, {"previous_amount": lambda w: F.lag("amount").over(w), "next_amount": lambda w: F.lead("amount").over(w)}, before=1, after=1, cuts=cuts)
+    numbered = running_window(framed, keys, order, {"rn": ("row_number", None), "s": ("sum", "m"), "n": ("total_count", None)}, cuts=cuts)
+    ranked = running_window(numbered, keys, ["order_date"], {"rnk": ("rank", None), "dense_rnk": ("dense_rank", None)}, cuts=cuts)
     return ranked.select("o_orderkey", "o_custkey", "rn", "rnk", "dense_rnk", "previous_amount", "next_amount", F.col("s").cast("double").alias("running_amount"), ntile_of(F.col("rn"), F.col("n"), 4).alias("quartile"))
 
 

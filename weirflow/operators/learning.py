@@ -55,10 +55,10 @@ def area_under_roc(predicted: DataFrame, label: str) -> DataFrame:
 
     Probabilities are counted per value first; the running count over values is segmented.
     """
-    from weirflow.plans.segments import running_window
+    from weirflow.plans.segments import plan_cuts, running_window
 
     per_value = predicted.groupBy("probability").agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
-    running = running_window(per_value, [], ["probability"], {"neg_upto": ("sum", "neg")}, size_of=predicted, bounds_from=predicted)
+    running = running_window(per_value, [], ["probability"], {"neg_upto": ("sum", "neg")}, cuts=plan_cuts(predicted, "probability"))
     won = F.sum(F.col("pos") * (F.col("neg_upto") - F.col("neg") / 2))
     return running.agg(F.try_divide(won.cast("double"), (F.sum("pos") * F.sum("neg")).cast("double")).alias("roc_auc"))

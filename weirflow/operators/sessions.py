@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weirflow.plans.lists import ordered_lists
-from weirflow.plans.segments import frame_window, running_window
+from weirflow.plans.segments import Cuts, frame_window, plan_cuts, running_window
 
 
 def gap_exceeds_minutes(minutes: int) -> Callable[[Column, Column], Column]:
@@ -24,14 +24,16 @@ def gap_exceeds_seconds(seconds: int) -> Callable[[Column, Column], Column]:
 
 
 def mark_sessions(
-    df: DataFrame, key: str, ts: str, row_id: str, splits: Callable[[Column, Column], Column], out: str = "session_no"
+    df: DataFrame, key: str, ts: str, row_id: str, splits: Callable[[Column, Column], Column], out: str = "session_no",
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Number the sessions of each key from 1; a row starts one when it has no predecessor or the gap splits."""
     order = [ts, row_id]
-    seen = frame_window(df, [key], order, {"__before": lambda w: F.lag(ts).over(w)}, before=1)
+    cuts = cuts if cuts is not None else plan_cuts(df, ts)
+    seen = frame_window(df, [key], order, {"__before": lambda w: F.lag(ts).over(w)}, before=1, cuts=cuts)
     starts = F.col("__before").isNull() | splits(F.col("__before"), F.col(ts))
     flagged = seen.withColumn("__new", F.when(starts, 1).otherwise(0))
-    return running_window(flagged, [key], order, {out: ("sum", "__new")}).drop("__before", "__new")
+    return running_window(flagged, [key], order, {out: ("sum", "__new")}, cuts=cuts).drop("__before", "__new")
 
 
 def session_summary(
@@ -46,8 +48,9 @@ def session_summary(
 
 def session_paths(df: DataFrame, key: str, ts: str, row_id: str, splits, item: str, out: str) -> DataFrame:
     """The items of each session in order, in parts of bounded length (see ``plans.lists``)."""
-    marked = mark_sessions(df, key, ts, row_id, splits)
-    return ordered_lists(marked, [key, "session_no"], [ts, row_id], {out: [item]}, size_of=df, bounds_from=df)
+    cuts = plan_cuts(df, ts)
+    marked = mark_sessions(df, key, ts, row_id, splits, cuts=cuts)
+    return ordered_lists(marked, [key, "session_no"], [ts, row_id], {out: [item]}, cuts=cuts)
 
 
 def type_counts(df: DataFrame, keys: Sequence[str], item: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from weirflow.functions.numbers import rounded
 from weirflow.plans.dedup import dense_top_per_key
 from weirflow.plans.quantiles import exact_percentiles, ntile_of
-from weirflow.plans.segments import frame_window, running_window
+from weirflow.plans.segments import frame_window, plan_cuts, running_window
 
 
 def nth_highest(df: DataFrame, key: str, amount: str, n: int = 2) -> DataFrame:
@@ -24,7 +24,7 @@ def nth_highest(df: DataFrame, key: str, amount: str, n: int = 2) -> DataFrame:
 def streaks(df: DataFrame, key: str, day: str) -> DataFrame:
     """Runs of consecutive days per key. Days are made distinct first, so a key has at most one row per day."""
     days = df.select(key, day).distinct()
-    numbered = running_window(days, [key], [day], {"__n": ("row_number", None)}, size_of=df, bounds_from=df)
+    numbered = running_window(days, [key], [day], {"__n": ("row_number", None)}, cuts=plan_cuts(df, day))
     anchored = numbered.withColumn("__anchor", F.date_sub(day, F.col("__n").cast("int")))
     return anchored.groupBy(key, "__anchor").agg(
         F.min(day).alias("streak_start"), F.max(day).alias("streak_end"), F.count(F.lit(1)).alias("consecutive_days")
@@ -37,17 +37,19 @@ def balance_with_floor(df: DataFrame, key: str, order: Sequence[str], amount: st
     With S the plain running sum, the balance is S minus the lowest S so far (zero included): two running
     functions in place of a row-by-row recursion.
     """
-    summed = running_window(df, [key], order, {"__s": ("sum", amount)})
-    lowest = running_window(summed, [key], order, {"__m": ("min", "__s")}, size_of=df, bounds_from=df)
+    cuts = plan_cuts(df, order[0])
+    summed = running_window(df, [key], order, {"__s": ("sum", amount)}, cuts=cuts)
+    lowest = running_window(summed, [key], order, {"__m": ("min", "__s")}, cuts=cuts)
     return lowest.withColumn(out, F.col("__s") - F.least(F.col("__m"), F.lit(0))).drop("__s", "__m")
 
 
 def outliers(df: DataFrame, key: str, value: str, row_id: str, above: float = 0.95) -> DataFrame:
     """Rows ranked above a share of their group, flagged against the group's exact percentile."""
-    ranked = running_window(df, [key], [value], {"__rank": ("rank", None), "__n": ("total_count", None)})
+    cuts = plan_cuts(df, value)
+    ranked = running_window(df, [key], [value], {"__rank": ("rank", None), "__n": ("total_count", None)}, cuts=cuts)
     share = F.try_divide((F.col("__rank") - 1).cast("double"), (F.col("__n") - 1).cast("double"))
     top = ranked.withColumn("__share", F.coalesce(share, F.lit(0.0))).filter(F.col("__share") > above)
-    limits = exact_percentiles(df, [key], value, {"limit_value": above})
+    limits = exact_percentiles(df, [key], value, {"limit_value": above}, cuts=cuts)
     flag = F.when(F.col(value) > F.col("limit_value"), "OUTLIER").otherwise("NORMAL")
     return top.join(limits, key).select(row_id, key, value, "limit_value", flag.alias("flag"))
 
@@ -82,14 +84,15 @@ def scd2_versions(
     """
     before = {f"__p_{a}": (lambda w, a=a: F.lag(a).over(w)) for a in attributes}
     before["__first"] = lambda w: F.lag(F.lit(False), 1, True).over(w)
-    seen = frame_window(snapshots, [key], [day], before, before=1)
+    cuts = plan_cuts(snapshots, day)
+    seen = frame_window(snapshots, [key], [day], before, before=1, cuts=cuts)
     changed = F.col("__first")
     for a in attributes:
         now, prev = F.col(a), F.col(f"__p_{a}")
         changed = changed | (~now.eqNullSafe(prev) if null_safe else F.coalesce(now != prev, F.lit(False)))
     starts = seen.filter(changed).select(key, *attributes, F.col(day).alias("effective_from"))
     closed = frame_window(
-        starts, [key], ["effective_from"], {"__next": lambda w: F.lead("effective_from").over(w)}, after=1, size_of=snapshots
+        starts, [key], ["effective_from"], {"__next": lambda w: F.lead("effective_from").over(w)}, after=1, cuts=cuts
     )
     return closed.select(
         key, *attributes, "effective_from",

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.plans.segments import running_window
+from weirflow.plans.segments import plan_cuts, running_window
 
 
 def asof_lookup(
@@ -30,7 +30,7 @@ def asof_lookup(
     rows = facts.withColumns({"__at": F.col(fact_time), "__fact": F.lit(1)})
     merged = rows.unionByName(marks, allowMissingColumns=True)
     latest = running_window(
-        merged, [key], ["__at", "__fact"], {"__hit": ("max", "__version")}, segments=segments
+        merged, [key], ["__at", "__fact"], {"__hit": ("max", "__version")}, cuts=plan_cuts(facts, fact_time, segments)
     ).filter(F.col("__fact") == 1)
     valid = F.lit(True)
     if valid_to:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.plans.segments import running_window
+from weirflow.plans.segments import Cuts, plan_cuts, running_window
 
 
 def exact_percentiles(
@@ -17,6 +17,7 @@ def exact_percentiles(
     percentiles: Mapping[str, float],
     *,
     segments: int | None = None,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Linear-interpolated percentiles per key, one output column per entry of ``percentiles``.
 
@@ -27,7 +28,7 @@ def exact_percentiles(
     counted = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
     ranked = running_window(
         counted, keys, [value], {"__upto": ("sum", "__n"), "__total": ("total_sum", "__n")},
-        segments=segments, size_of=present, bounds_from=present,
+        cuts=cuts if cuts is not None else plan_cuts(present, value, segments),
     )
     number = F.col(value).cast("double")
     picks = []

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -75,28 +76,37 @@ def _as_number(df: DataFrame, name: str) -> Column:
     raise TypeError(f"the leading order column {name} must be a number, date or timestamp, not {kind}")
 
 
-def with_segments(
-    df: DataFrame, lead: str, segments: int, bounds_from: DataFrame | None = None
-) -> DataFrame | None:
-    """Add the segment number, or return None where the column has too few values to cut."""
+@dataclass(frozen=True)
+class Cuts:
+    """Where the leading order column is cut, as numbers; no cuts means a plain window."""
+
+    values: tuple[float, ...] = ()
+
+
+def plan_cuts(df: DataFrame, lead: str, segments: int | None = None) -> Cuts:
+    """Cuts for a frame: none when it is small, else quantiles of the column.
+
+    The quantiles cost one pass over a single column and bring one number per segment to the driver. Make
+    them once, on the plain input, and hand them to every window of an operator.
+    """
+    wanted = segments if segments is not None else segment_count(df)
+    if wanted <= 1:
+        return Cuts()
+    name = order_terms([lead])[0][0]
+    found = df.select(_as_number(df, name).alias("v")).approxQuantile(
+        "v", [i / wanted for i in range(1, wanted)], 1.0 / (4 * wanted)
+    )
+    return Cuts(tuple(sorted(set(found))))
+
+
+def with_segments(df: DataFrame, lead: str, cuts: Cuts) -> DataFrame:
+    """Add the segment number, rising in the direction of the order."""
     from pyspark.ml.feature import Bucketizer
 
     name, desc = order_terms([lead])[0]
-    base = bounds_from if bounds_from is not None else df
-    probabilities = [i / segments for i in range(1, segments)]
-    cuts = base.select(_as_number(base, name).alias("v")).approxQuantile(
-        "v", probabilities, 1.0 / (4 * segments)
-    )
-    cuts = sorted(set(cuts))
-    if not cuts:
-        return None
-    numbered = df.withColumn("__lead", _as_number(df, name))
     bucketed = Bucketizer(
-        splits=[-math.inf, *cuts, math.inf],
-        inputCol="__lead",
-        outputCol="__bucket",
-        handleInvalid="keep",
-    ).transform(numbered)
+        splits=[-math.inf, *cuts.values, math.inf], inputCol="__lead", outputCol="__bucket", handleInvalid="keep",
+    ).transform(df.withColumn("__lead", _as_number(df, name)))
     bucket = F.col("__bucket").cast("int")
     # NULL order values come first when ascending and last when descending.
     if desc:
@@ -106,11 +116,9 @@ def with_segments(
     return bucketed.withColumn(SEGMENT, segment).drop("__lead", "__bucket")
 
 
-def _cut(df, order, segments, size_of, bounds_from):
-    wanted = segments if segments is not None else segment_count(size_of if size_of is not None else df)
-    if wanted <= 1:
-        return None
-    return with_segments(df, order[0], wanted, bounds_from)
+def _cut(df, order, segments, cuts):
+    cuts = cuts if cuts is not None else plan_cuts(df, order[0], segments)
+    return with_segments(df, order[0], cuts) if cuts.values else None
 
 
 def running_window(
@@ -120,8 +128,7 @@ def running_window(
     columns: Mapping[str, tuple[str, str | None]],
     *,
     segments: int | None = None,
-    size_of: DataFrame | None = None,
-    bounds_from: DataFrame | None = None,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Functions over all rows from the start of the key up to the current one.
 
@@ -132,7 +139,7 @@ def running_window(
     for kind, _ in columns.values():
         if kind not in RUNNING_KINDS:
             raise ValueError(f"unknown running function {kind}")
-    cut = _cut(df, order, segments, size_of, bounds_from)
+    cut = _cut(df, order, segments, cuts)
     if cut is None:
         return _plain_running(df, keys, order, columns)
     return _segmented_running(cut, df.columns, keys, order, columns)
@@ -227,14 +234,14 @@ def frame_window(
     before: int = 0,
     after: int = 0,
     segments: int | None = None,
-    size_of: DataFrame | None = None,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Functions over a bounded row frame: lag, lead, moving averages, rolling medians.
 
     ``columns`` maps an output name to a function from the ordered window to a column. It may look at
     most ``before`` rows back and ``after`` rows ahead. ``order`` must be unique within a key.
     """
-    cut = _cut(df, order, segments, size_of, None)
+    cut = _cut(df, order, segments, cuts)
     if cut is None:
         window = Window.partitionBy(*keys).orderBy(*sort_columns(order))
         return df.select("*", *[make(window).alias(out) for out, make in columns.items()])
