@@ -62,6 +62,24 @@ def range_bucket(column: str, width: int) -> Column:
     return (F.floor(F.col(column) / width) * width).cast("bigint")
 
 
+OVERWRITE_CONF = "spark.sql.sources.partitionOverwriteMode"
+
+
+def overwrite_partitions(df: DataFrame, table: str) -> None:
+    """Replace exactly the partitions that occur in the rows; all others stay.
+
+    ``insertInto`` takes the mode from the session and ignores it as an option, and the default mode
+    would empty the whole table, so the session setting is changed for the one write.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get(OVERWRITE_CONF)
+    spark.conf.set(OVERWRITE_CONF, "dynamic")
+    try:
+        df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(OVERWRITE_CONF, before)
+
+
 def load_partition(df: DataFrame, table: str, column: str, value) -> int:
     """Replace one partition; running it again gives the same table. Raises when there is nothing to load."""
     spark = df.sparkSession
@@ -71,8 +89,7 @@ def load_partition(df: DataFrame, table: str, column: str, value) -> int:
     if not spark.catalog.tableExists(table):
         part.write.partitionBy(column).saveAsTable(table)
     else:
-        target = spark.table(table).columns
-        part.select(*target).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+        overwrite_partitions(part, table)
     return spark.table(table).filter(F.col(column) == F.lit(value)).count()
 
 
@@ -82,8 +99,7 @@ def backfill(df: DataFrame, table: str, column: str, values: Sequence) -> None:
     if not df.sparkSession.catalog.tableExists(table):
         part.write.partitionBy(column).saveAsTable(table)
         return
-    target = df.sparkSession.table(table).columns
-    part.select(*target).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    overwrite_partitions(part, table)
 
 
 def partition_values(spark: SparkSession, table: str) -> DataFrame:
@@ -148,7 +164,7 @@ def erase_from_table(spark: SparkSession, table: str, key: str, values: DataFram
     kept.write.mode("errorifexists").parquet(staging)
     aside = spark.read.parquet(staging)
     filled = {r[0] for r in aside.select(partition).distinct().collect()}
-    aside.select(*source.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    overwrite_partitions(aside, table)
     for name in names:
         if name not in filled:
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition}='{name}')")

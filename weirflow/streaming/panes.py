@@ -51,6 +51,12 @@ class PaneProcessor(StatefulProcessor):
         if not known:
             self.handle.registerTimer(max(1, start + self.window_ms - self.lateness_ms))
             self.handle.registerTimer(start + self.window_ms)
+        if not closed and timerValues.getCurrentWatermarkInMs() >= start + self.window_ms - self.lateness_ms:
+            # The window ended before these rows came: they are late, and what was there comes out first.
+            if known:
+                yield self._pane(name, start, "on_time", panes, n, cents, shown_n, shown_cents)
+                panes, shown_n, shown_cents = panes + 1, n, cents
+            closed = True
         for pdf in rows:
             n += int(pdf["n"].sum())
             cents += int(pdf["cents"].sum())
