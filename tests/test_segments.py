@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weirflow.plans.quantiles import exact_percentiles, ntile_of
-from weirflow.plans.segments import SEGMENT_BYTES_CONF, frame_window, running_window
+from weirflow.plans.segments import SEGMENT_BYTES_CONF, frame_window, plan_cuts, running_window
 
 
 @pytest.fixture(scope="module")
@@ -37,6 +37,30 @@ def test_running_equals_plain(skewed, order, keys, segments):
     assert sorted(map(repr, plain.collect())) == sorted(map(repr, cut.collect()))
 
 
+@pytest.mark.parametrize("order", [["t", "id"], ["-t", "id"]])
+def test_only_hot_keys_are_cut(skewed, order):
+    ranks = {"r": ("rank", None), "d": ("dense_rank", None)}
+    framed = {"p2": lambda w: F.lag("id", 2).over(w), "n1": lambda w: F.lead("v").over(w)}
+    cuts = plan_cuts(skewed, order[0], 9, keys=["k"], hot_rows=250)
+    assert [r.k for r in cuts.hot.collect()] == ["hot"] and cuts.values
+    for make in (
+        lambda **kw: running_window(skewed, ["k"], order, {**RUNNING, **ranks}, **kw),
+        lambda **kw: frame_window(skewed, ["k"], order, framed, before=2, after=1, **kw),
+    ):
+        plain, cut = make(segments=1), make(cuts=cuts)
+        assert plain.schema.simpleString() == cut.schema.simpleString()
+        assert sorted(map(repr, plain.collect())) == sorted(map(repr, cut.collect()))
+    assert plan_cuts(skewed, order[0], 9, keys=["k"], hot_rows=5000).values == ()
+
+
+def test_null_can_be_the_hot_key(spark):
+    df = spark.range(300).select("id", F.when(F.col("id") % 2 == 0, F.lit("a")).when(F.col("id") % 10 == 1, F.col("id").cast("string")).alias("k"), (F.col("id") % 50).alias("t"))
+    cuts = plan_cuts(df, "t", 5, keys=["k"], hot_rows=100)
+    assert {r.k for r in cuts.hot.collect()} == {"a", None}
+    args = (["k"], ["t", "id"], {"s": ("sum", "id"), "n": ("total_count", None)})
+    assert running_window(df, *args, segments=1).exceptAll(running_window(df, *args, cuts=cuts)).isEmpty()
+
+
 def test_ranks_with_ties(skewed):
     ranks = {"r": ("rank", None), "d": ("dense_rank", None)}
     plain = running_window(skewed, ["k"], ["-t"], ranks, segments=1)

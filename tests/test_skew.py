@@ -19,7 +19,8 @@ def hot(spark):
 
 
 def test_no_group_holds_the_hot_key(hot):
-    cuts = plan_cuts(hot, "ts", segments=40)
+    cuts = plan_cuts(hot, "ts", 40, keys=["user_id"], hot_rows=1500)
+    assert [r.user_id for r in cuts.hot.collect()] == [0]
     sizes = with_segments(hot, "ts", cuts).groupBy("user_id", SEGMENT).count()
     # 20,000 rows of one user; two segments' worth is the bound with approximate cuts and ties.
     assert sizes.agg(F.max("count")).first()[0] <= 2 * 60_000 / 40
@@ -28,7 +29,7 @@ def test_no_group_holds_the_hot_key(hot):
 def test_sessions_of_a_hot_key(hot):
     gap = sessions.gap_exceeds_seconds(1800)
     plain = sessions.mark_sessions(hot, "user_id", "ts", "event_id", gap, cuts=plan_cuts(hot, "ts", 1))
-    cut = sessions.mark_sessions(hot, "user_id", "ts", "event_id", gap, cuts=plan_cuts(hot, "ts", 40))
+    cut = sessions.mark_sessions(hot, "user_id", "ts", "event_id", gap, cuts=plan_cuts(hot, "ts", 40, keys=["user_id"], hot_rows=1500))
     assert plain.exceptAll(cut).isEmpty() and cut.count() == 60_000
 
 

@@ -254,7 +254,7 @@ def corr_cumulative(t):
     """Sum of everything up to and including the row's date: days are summed first, so ties are whole."""
     rows = t.orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("order_date"), F.col("o_totalprice").cast("decimal(18,2)").alias("amount"))
     daily = rows.groupBy("o_custkey", "order_date").agg(F.sum("amount").alias("day_total"))
-    running = running_window(daily, ["o_custkey"], ["order_date"], {"running_total": ("sum", "day_total")}, cuts=plan_cuts(rows, "order_date"))
+    running = running_window(daily, ["o_custkey"], ["order_date"], {"running_total": ("sum", "day_total")}, cuts=plan_cuts(rows, "order_date", keys=["o_custkey"]))
     return rows.drop("amount").join(running.select("o_custkey", "order_date", F.col("running_total").cast("double")), ["o_custkey", "order_date"])
 
 

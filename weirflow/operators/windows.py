@@ -24,7 +24,7 @@ def nth_highest(df: DataFrame, key: str, amount: str, n: int = 2) -> DataFrame:
 def streaks(df: DataFrame, key: str, day: str) -> DataFrame:
     """Runs of consecutive days per key. Days are made distinct first, so a key has at most one row per day."""
     days = df.select(key, day).distinct()
-    numbered = running_window(days, [key], [day], {"__n": ("row_number", None)}, cuts=plan_cuts(df, day))
+    numbered = running_window(days, [key], [day], {"__n": ("row_number", None)}, cuts=plan_cuts(df, day, keys=[key]))
     anchored = numbered.withColumn("__anchor", F.date_sub(day, F.col("__n").cast("int")))
     return anchored.groupBy(key, "__anchor").agg(
         F.min(day).alias("streak_start"), F.max(day).alias("streak_end"), F.count(F.lit(1)).alias("consecutive_days")
@@ -37,7 +37,7 @@ def balance_with_floor(df: DataFrame, key: str, order: Sequence[str], amount: st
     With S the plain running sum, the balance is S minus the lowest S so far (zero included): two running
     functions in place of a row-by-row recursion.
     """
-    cuts = plan_cuts(df, order[0])
+    cuts = plan_cuts(df, order[0], keys=[key])
     summed = running_window(df, [key], order, {"__s": ("sum", amount)}, cuts=cuts)
     lowest = running_window(summed, [key], order, {"__m": ("min", "__s")}, cuts=cuts)
     return lowest.withColumn(out, F.col("__s") - F.least(F.col("__m"), F.lit(0))).drop("__s", "__m")
@@ -45,7 +45,7 @@ def balance_with_floor(df: DataFrame, key: str, order: Sequence[str], amount: st
 
 def outliers(df: DataFrame, key: str, value: str, row_id: str, above: float = 0.95) -> DataFrame:
     """Rows ranked above a share of their group, flagged against the group's exact percentile."""
-    cuts = plan_cuts(df, value)
+    cuts = plan_cuts(df, value, keys=[key])
     ranked = running_window(df, [key], [value], {"__rank": ("rank", None), "__n": ("total_count", None)}, cuts=cuts)
     share = F.try_divide((F.col("__rank") - 1).cast("double"), (F.col("__n") - 1).cast("double"))
     top = ranked.withColumn("__share", F.coalesce(share, F.lit(0.0))).filter(F.col("__share") > above)
@@ -84,7 +84,7 @@ def scd2_versions(
     """
     before = {f"__p_{a}": (lambda w, a=a: F.lag(a).over(w)) for a in attributes}
     before["__first"] = lambda w: F.lag(F.lit(False), 1, True).over(w)
-    cuts = plan_cuts(snapshots, day)
+    cuts = plan_cuts(snapshots, day, keys=[key])
     seen = frame_window(snapshots, [key], [day], before, before=1, cuts=cuts)
     changed = F.col("__first")
     for a in attributes:

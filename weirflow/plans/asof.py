@@ -30,7 +30,7 @@ def asof_lookup(
     rows = facts.withColumns({"__at": F.col(fact_time), "__fact": F.lit(1)})
     merged = rows.unionByName(marks, allowMissingColumns=True)
     latest = running_window(
-        merged, [key], ["__at", "__fact"], {"__hit": ("max", "__version")}, cuts=plan_cuts(facts, fact_time, segments)
+        merged, [key], ["__at", "__fact"], {"__hit": ("max", "__version")}, cuts=plan_cuts(facts, fact_time, segments, keys=[key])
     ).filter(F.col("__fact") == 1)
     valid = F.lit(True)
     if valid_to:

@@ -28,7 +28,7 @@ def exact_percentiles(
     counted = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
     ranked = running_window(
         counted, keys, [value], {"__upto": ("sum", "__n"), "__total": ("total_sum", "__n")},
-        cuts=cuts if cuts is not None else plan_cuts(present, value, segments),
+        cuts=cuts if cuts is not None else plan_cuts(present, value, segments, keys=keys),
     )
     number = F.col(value).cast("double")
     picks = []

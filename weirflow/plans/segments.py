@@ -1,17 +1,18 @@
 """Ordered window functions that do not put a whole key into one task.
 
 ``Window.partitionBy(key)`` sends every row of a key to one task, so a key holding a third of the
-table stalls the job. Here the leading order column is cut into segments at quantiles of the whole
-table and the window runs over (key, segment): whatever the key, one group holds at most about
-1/segments of all rows. What a row needs from earlier segments is small and is handed over as
-*seed rows* that are unioned into the segment:
+table stalls the job. Here hot keys are cut: their rows are split at quantiles of the leading order
+column, and the window runs over (key, segment). A group is then about as large as a normal partition,
+whatever the key. What a row needs from earlier segments is small and is handed over as *seed rows* that
+are unioned into the segment:
 
-* running functions: one seed per (key, segment) with the totals of all earlier segments;
+* running functions: one seed per hot key and segment with the totals of all earlier segments;
 * frame functions: the last (or next) few rows of the neighbouring segments.
 
-Below a size limit (``spark.weirflow.segment.bytes``, default 64 MiB by Spark's own size estimate) one
-task can hold the table and a plain window is used. Quantile bounds only place the cuts: results do
-not depend on them, and they enter the plan as literals, so a retried task sees the same cuts.
+Keys that are not hot have one segment and no seeds. Below a size limit (``spark.weirflow.segment.bytes``,
+default 64 MiB by Spark's own size estimate) one task can hold the table, and without hot keys nothing
+needs cutting: both take a plain window. Hot keys and cuts only steer the work: results do not depend on
+them, and they enter the plan as constants, so a retried task sees the same ones.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +28,7 @@ from pyspark.sql import types as T
 
 SEGMENT = "__segment"
 SEED = "__seed"
+HOT = "__hot"
 SEGMENT_BYTES_CONF = "spark.weirflow.segment.bytes"
 DEFAULT_SEGMENT_BYTES = 64 << 20
 MAX_SEGMENTS = 10_000
@@ -78,46 +81,81 @@ def _as_number(df: DataFrame, name: str) -> Column:
 
 @dataclass(frozen=True)
 class Cuts:
-    """Where the leading order column is cut, as numbers; no cuts means a plain window."""
+    """Where the leading order column is cut, as numbers, and for which keys.
+
+    No values mean a plain window; no hot keys with values mean that every key is cut.
+    """
 
     values: tuple[float, ...] = ()
+    keys: tuple[str, ...] = ()
+    hot: DataFrame | None = None
 
 
-def plan_cuts(df: DataFrame, lead: str, segments: int | None = None) -> Cuts:
-    """Cuts for a frame: none when it is small, else quantiles of the column.
+def plan_cuts(
+    df: DataFrame, lead: str, segments: int | None = None, *, keys: Sequence[str] = (), hot_rows: float | None = None
+) -> Cuts:
+    """Cuts for a frame: none when it is small or has no hot key.
 
-    The quantiles cost one pass over a single column and bring one number per segment to the driver. Make
-    them once, on the plain input, and hand them to every window of an operator.
+    A key is hot when it has more rows than one of the segments the table would need, so there are fewer
+    hot keys than segments. Counting rows per key and the quantiles of the hot rows cost a pass each over
+    the key and order columns; the driver gets the hot keys and one number per segment. Make the cuts once,
+    on the plain input, and hand them to every window of an operator. With ``segments`` given every key is
+    cut, unless ``hot_rows`` says from how many rows on.
     """
+    limit = int(df.sparkSession.conf.get(SEGMENT_BYTES_CONF, str(DEFAULT_SEGMENT_BYTES)))
+    every_key = not keys or (hot_rows is None and (segments is not None or limit <= 0))
     wanted = segments if segments is not None else segment_count(df)
     if wanted <= 1:
         return Cuts()
     name = order_terms([lead])[0][0]
-    found = df.select(_as_number(df, name).alias("v")).approxQuantile(
+    source, hot = df, None
+    if not every_key:
+        rows = hot_rows if hot_rows is not None else df.count() / wanted
+        heavy = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > rows)
+        found = heavy.collect()
+        if not found:
+            return Cuts()
+        fields = T.StructType([df.schema[k] for k in keys])
+        hot = df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in found], fields)
+        source = _mark_hot(df, Cuts((), tuple(keys), hot)).filter(HOT)
+        wanted = max(2, math.ceil(sum(r["__rows"] for r in found) / max(rows, 1)))
+    cuts = source.select(_as_number(df, name).alias("v")).approxQuantile(
         "v", [i / wanted for i in range(1, wanted)], 1.0 / (4 * wanted)
     )
-    return Cuts(tuple(sorted(set(found))))
+    return Cuts(tuple(sorted(set(cuts))), tuple(keys), hot)
+
+
+def _mark_hot(df: DataFrame, cuts: Cuts) -> DataFrame:
+    """Add whether the row's key is hot. The hot keys are fewer than the segments, so they are broadcast."""
+    if cuts.hot is None:
+        return df.withColumn(HOT, F.lit(True))
+    names = {k: f"__hot_{i}" for i, k in enumerate(cuts.keys)}
+    marks = cuts.hot.select(*[F.col(k).alias(n) for k, n in names.items()], F.lit(True).alias("__is_hot"))
+    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(F.col(n)) for k, n in names.items()])
+    joined = df.join(F.broadcast(marks), same, "left")
+    return joined.withColumn(HOT, F.coalesce("__is_hot", F.lit(False))).drop("__is_hot", *names.values())
 
 
 def with_segments(df: DataFrame, lead: str, cuts: Cuts) -> DataFrame:
-    """Add the segment number, rising in the direction of the order."""
+    """Add the segment number, rising in the direction of the order; 0 for keys that are not hot."""
     from pyspark.ml.feature import Bucketizer
 
     name, desc = order_terms([lead])[0]
+    marked = _mark_hot(df, cuts)
     bucketed = Bucketizer(
         splits=[-math.inf, *cuts.values, math.inf], inputCol="__lead", outputCol="__bucket", handleInvalid="keep",
-    ).transform(df.withColumn("__lead", _as_number(df, name)))
+    ).transform(marked.withColumn("__lead", _as_number(df, name)))
     bucket = F.col("__bucket").cast("int")
     # NULL order values come first when ascending and last when descending.
     if desc:
         segment = F.when(F.col("__lead").isNull(), F.lit(1)).otherwise(-bucket)
     else:
         segment = F.when(F.col("__lead").isNull(), F.lit(-1)).otherwise(bucket)
-    return bucketed.withColumn(SEGMENT, segment).drop("__lead", "__bucket")
+    return bucketed.withColumn(SEGMENT, F.when(F.col(HOT), segment).otherwise(0)).drop("__lead", "__bucket")
 
 
-def _cut(df, order, segments, cuts):
-    cuts = cuts if cuts is not None else plan_cuts(df, order[0], segments)
+def _cut(df, keys, order, segments, cuts):
+    cuts = cuts if cuts is not None else plan_cuts(df, order[0], segments, keys=keys)
     return with_segments(df, order[0], cuts) if cuts.values else None
 
 
@@ -139,7 +177,7 @@ def running_window(
     for kind, _ in columns.values():
         if kind not in RUNNING_KINDS:
             raise ValueError(f"unknown running function {kind}")
-    cut = _cut(df, order, segments, cuts)
+    cut = _cut(df, keys, order, segments, cuts)
     if cut is None:
         return _plain_running(df, keys, order, columns)
     return _segmented_running(cut, df.columns, keys, order, columns)
@@ -181,7 +219,7 @@ def _segmented_running(cut, names, keys, order, columns):
             return F.count_distinct(F.struct(*order_names))
         return {"min": F.min, "max": F.max}.get(kind, F.sum)(f"__v_{out}")
 
-    totals = valued.groupBy(*keys, SEGMENT).agg(
+    totals = valued.filter(HOT).groupBy(*keys, SEGMENT).agg(
         *[per_segment(out, kind).alias(f"__v_{out}") for out, (kind, _) in columns.items()]
     )
     by_segment = Window.partitionBy(*keys).orderBy(SEGMENT)
@@ -202,20 +240,22 @@ def _segmented_running(cut, names, keys, order, columns):
         SEGMENT,
         *[handed_over(out, kind).alias(f"__v_{out}") for out, (kind, _) in columns.items()],
         F.lit(0).alias(SEED),
+        F.lit(True).alias(HOT),
     )
     merged = valued.withColumn(SEED, F.lit(1)).unionByName(seeds, allowMissingColumns=True)
     ordered = Window.partitionBy(*keys, SEGMENT).orderBy(SEED, *sort_columns(order))
     upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    group = Window.partitionBy(*keys, SEGMENT)
 
     def finished(out, kind):
         value = F.col(f"__v_{out}")
         if kind in ("min", "max"):
             return {"min": F.min, "max": F.max}[kind](value).over(upto)
         if kind in ("rank", "dense_rank"):
-            local = (F.rank() if kind == "rank" else F.dense_rank()).over(ordered) - 1
-            return (F.first(value).over(upto) + local).cast("bigint")
+            local = (F.rank() if kind == "rank" else F.dense_rank()).over(ordered)
+            return F.when(F.col(HOT), F.first(value).over(upto) + local - 1).otherwise(local).cast("bigint")
         if kind.startswith("total_"):
-            return F.first(value).over(upto)
+            return F.when(F.col(HOT), F.first(value).over(upto)).otherwise(F.sum(value).over(group))
         return F.sum(value).over(upto)
 
     return (
@@ -241,13 +281,13 @@ def frame_window(
     ``columns`` maps an output name to a function from the ordered window to a column. It may look at
     most ``before`` rows back and ``after`` rows ahead. ``order`` must be unique within a key.
     """
-    cut = _cut(df, order, segments, cuts)
+    cut = _cut(df, keys, order, segments, cuts)
     if cut is None:
         window = Window.partitionBy(*keys).orderBy(*sort_columns(order))
         return df.select("*", *[make(window).alias(out) for out, make in columns.items()])
 
     names = df.columns
-    merged = cut.withColumn(SEED, F.lit(1))
+    merged = cut.drop(HOT).withColumn(SEED, F.lit(1))
     if before:
         merged = merged.unionByName(_neighbour_rows(cut, names, keys, order, before, ahead=False))
     if after:
@@ -264,7 +304,7 @@ def _neighbour_rows(cut, names, keys, order, count, ahead):
     """Copies of the ``count`` rows next to each (key, segment), labelled with that segment."""
     nearest_first = Window.partitionBy(*keys, SEGMENT).orderBy(*sort_columns(order, reverse=not ahead))
     edge = (
-        cut.withColumn("__nth", F.row_number().over(nearest_first))
+        cut.filter(HOT).withColumn("__nth", F.row_number().over(nearest_first))
         .filter(F.col("__nth") <= count)
         .groupBy(*keys, SEGMENT)
         .agg(

@@ -41,6 +41,8 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="weirflow-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir() or local
