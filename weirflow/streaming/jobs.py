@@ -85,7 +85,8 @@ def loan_outputs(risk: Column, high_limit: float) -> dict:
 
 
 def compare_with_batch(streamed: DataFrame, batch: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Keys whose value differs between the stream's output and a batch run over the same rows."""
+    """Every key of the stream's output and of a batch run over the same rows, and whether the values agree."""
     s = streamed.select(*keys, F.col(value).alias("stream_value"))
     b = batch.select(*keys, F.col(value).alias("batch_value"))
-    return s.join(b, list(keys), "full_outer").filter(~F.col("stream_value").eqNullSafe(F.col("batch_value")))
+    agrees = F.col("stream_value").eqNullSafe(F.col("batch_value"))
+    return s.join(b, list(keys), "full_outer").withColumn("agrees", agrees)
