@@ -14,10 +14,10 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def null_if_marker(c, markers: Sequence[str] = tuple(NULL_MARKERS)) -> Column:
+def null_if_marker(c, markers: Sequence[str] = tuple(NULL_MARKERS), trimmed: bool = False) -> Column:
     """NULL for texts that mean "missing", otherwise the text as it is."""
     c = _col(c)
-    return F.when(~F.lower(F.trim(c)).isin(*markers), c)
+    return F.when(~F.lower(c if trimmed else F.trim(c)).isin(*markers), c)
 
 
 def category(c) -> Column:

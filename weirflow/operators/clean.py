@@ -38,7 +38,8 @@ def replace_null_text(df: DataFrame, marker: str = "\\N") -> DataFrame:
 
 def clean_loans(raw: DataFrame) -> DataFrame:
     """All cleaning steps on text loan records: typed, trimmed, standardised, one row per input row."""
-    staged = blank_markers(trim_strings(raw))
+    trimmed = trim_strings(raw)
+    staged = trimmed.withColumns({c: text.null_if_marker(c, trimmed=True) for c in string_columns(trimmed)})
     return staged.select(
         text.identifier("loan_id").alias("loan_id"),
         text.identifier("customer_id").alias("customer_id"),
