@@ -51,11 +51,11 @@ def matches(files: DataFrame, templates: dict[str, list[str]], cosine: float) ->
     known = _template_rows(spark, templates).select("license", "variant", F.explode(terms(F.col("text"))).alias("t")).groupBy("license", "variant", "t").agg(F.count(F.lit(1)).alias("tf"))
     vocabulary = sorted(r.t for r in known.select("t").distinct().collect())
     vocab = F.array(*(F.lit(t) for t in vocabulary))
-    lines = files.select("file", F.posexplode(F.filter(F.split("text", "\n", -1), lambda s: F.length(s) > 0)).alias("line", "s"))
+    lines = files.select("file", F.posexplode_outer(F.filter(F.split("text", "\n", -1), lambda s: F.length(s) > 0)).alias("line", "s"))
     whole = files.where("licence_file").select("file", F.lit(-1).alias("line"), F.col("text").alias("s"))
-    units = lines.unionByName(whole).select("file", "line", terms(F.col("s")).alias("ts"))
+    units = lines.where("line is not null").unionByName(whole).select("file", "line", terms(F.col("s")).alias("ts"))
     shared = F.array_intersect("ts", vocab)
-    df = {r.t: r.n for r in units.select(F.explode(shared).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()}  # template words only
+    df = {r.t or "": r.n for r in units.select(F.explode_outer(shared).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()}  # template words only
     n = units.count()
     idf = {t: math.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in vocabulary}
     other = math.log(1 + n) + 1  # words of no template count as seen nowhere

@@ -90,6 +90,18 @@ def detect(df: DataFrame, carry: bool = False) -> DataFrame:
     return found.select(*docs.columns, "key", *(c.alias(k) for k, c in base_spans().items()))
 
 
+def _named(kind: str):
+    return lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(f"[{kind.upper()}]").alias("name"))
+
+
+def _entity(kind: str):
+    return lambda s: F.struct(F.concat(F.lit(f"{kind}:"), s["value"]).alias("e"), s["start"].alias("start"), s["end"].alias("end"))
+
+
+def _located(kind: str):
+    return lambda s: F.concat_ws(":", F.lit(kind), s["start"], s["end"])
+
+
 def _terms(text: Column) -> Column:
     """Lower-case runs of two letters or more."""
     return F.filter(F.split(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), r"[^\p{L}]+"), lambda w: F.length(w) >= 2)
@@ -100,7 +112,7 @@ def disclosing_terms(docs: DataFrame, held: DataFrame, near: int = NEAR, support
 
     ``docs``: all documents; ``held``: the rows of ``detect`` with spans. Copies count as documents but give one context.
     """
-    spans = [F.transform(k, lambda s, k=k: F.struct(F.concat(F.lit(f"{k}:"), s["value"]).alias("e"), s["start"].alias("start"), s["end"].alias("end"))) for k in KINDS]
+    spans = [F.transform(k, _entity(k)) for k in KINDS]
     entities = held.select("key", "text", F.explode(F.concat(*spans)).alias("x"))
     reach = 24 * near  # characters in which the near words are looked for
     left = F.substring("text", F.greatest(F.col("x.start") - reach, F.lit(0)).cast("int") + 1, F.least(F.col("x.start"), F.lit(reach)).cast("int"))
@@ -108,14 +120,14 @@ def disclosing_terms(docs: DataFrame, held: DataFrame, near: int = NEAR, support
     before, after = _terms(left), _terms(right)
     context = F.concat(F.slice(before, F.greatest(F.size(before) - near, F.lit(0)) + 1, near), F.slice(after, 1, near))
     seen = entities.select("key", F.col("x.e").alias("e"), context.alias("c"))
-    pairs = seen.select("key", "e", F.xxhash64("c").alias("ctx"), F.explode(F.array_distinct("c")).alias("t"))
+    pairs = seen.select("key", "e", F.xxhash64("c").alias("ctx"), F.explode_outer(F.array_distinct("c")).alias("t"))
     # Distinct first, count after: a hot entity or word spreads over its documents and contexts.
     by_ctx = pairs.select("e", "t", "ctx").distinct().groupBy("e", "t").agg(F.count(F.lit(1)).alias("contexts")).where(F.col("contexts") >= support)
     by_doc = pairs.select("e", "t", "key").distinct().join(by_ctx.select("e", "t"), ["e", "t"])
     by_doc = written(by_doc, "near")
     n_et = by_doc.groupBy("e", "t").agg(F.count(F.lit(1)).alias("n_et"))
     n_e = entities.select(F.col("x.e").alias("e"), "key").distinct().groupBy("e").agg(F.count(F.lit(1)).alias("n_e"))
-    n_t = docs.select(F.explode(F.array_distinct(_terms(F.col("text")))).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n_t"))
+    n_t = docs.select(F.explode_outer(F.array_distinct(_terms(F.col("text")))).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n_t"))
     n = docs.count()
     told = n_et.join(n_e, "e").join(n_t, "t")
     share = F.log(n * F.col("n_et") / (F.col("n_e") * F.col("n_t"))) / F.log(n / F.col("n_e"))
@@ -145,7 +157,7 @@ def _all_spans(df: DataFrame, carry: bool, near: int, support: int, disclosure:
 
 
 def _told(kinds) -> Column:
-    return F.array_join(F.concat(*(F.transform(k, lambda s, k=k: F.concat_ws(":", F.lit(k), s["start"], s["end"])) for k in kinds)), ",")
+    return F.array_join(F.concat(*(F.transform(k, _located(k)) for k in kinds)), ",")
 
 
 def report(df: DataFrame, near: int = NEAR, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
@@ -163,7 +175,7 @@ def sanitise(df: DataFrame, near: int = NEAR, support: int = SUPPORT, disclosure
     """The input rows with the spans in ``text`` replaced by [EMAIL], [IP], [CARD], [PHONE] or [TERM]; overlapping spans become one,
     named after the first. A null text stays null."""
     rows = _all_spans(df, True, near, support, disclosure)
-    spans = F.array_sort(F.concat(*(F.transform(k, lambda s, k=k: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(f"[{k.upper()}]").alias("name"))) for k in (*KINDS, TERM))))
+    spans = F.array_sort(F.concat(*(F.transform(k, _named(k)) for k in (*KINDS, TERM))))
 
     def step(acc: Column, s: Column) -> Column:
         apart = s["start"] >= acc["at"]

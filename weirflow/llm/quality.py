@@ -16,15 +16,19 @@ from weirflow.llm.common import documents, held_above, words
 
 BUCKETS = 1 << 15
 TRUSTED = 20_000  # at most this many trusted documents are used, the first by hash of the id
-THRESHOLD = -0.25  # mean log ratio per feature
+THRESHOLD = -0.125  # mean log ratio per feature
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
 
 
+def _bucket(buckets: int, *c: Column) -> Column:
+    return F.pmod(F.xxhash64(*c), F.lit(buckets)).cast("int")
+
+
 def features(ws: Column, buckets: int = BUCKETS) -> Column:
     """Buckets of all words and adjacent word pairs."""
-    bucket = lambda *c: F.pmod(F.xxhash64(*c), F.lit(buckets)).cast("int")
+    bucket = lambda *c: _bucket(buckets, *c)
     pairs = F.when(F.size(ws) > 1, F.transform(F.slice(ws, 2, F.greatest(F.size(ws) - 1, F.lit(0))), lambda w, i: bucket(F.get(ws, i), w)))
     return F.concat(F.transform(ws, lambda w: bucket(w)), F.coalesce(pairs, F.array().cast("array<int>")))
 
@@ -39,7 +43,11 @@ def log_ratios(df: DataFrame, labels: DataFrame, buckets: int = BUCKETS, trusted
     docs = documents(df)
     marked = docs.join(F.broadcast(_trusted(labels, trusted).withColumn("good", F.lit(1))), "doc_id", "left")
     marked = marked.select(words(F.col("text")).alias("ws"), F.coalesce("good", F.lit(0)).alias("good"))
-    feats = marked.select(F.explode(features(F.col("ws"), buckets)).alias("b"), "good")
+    # Outer generators: Spark adds no filter on their input, which would be computed twice.
+    following = F.slice("ws", F.lit(2), F.greatest(F.size("ws"), F.lit(1)))
+    pairs = marked.select("good", F.inline_outer(F.arrays_zip(F.col("ws").alias("w"), following.alias("v")))).toDF("good", "w", "v")
+    both = F.array(F.when(F.col("w").isNotNull(), _bucket(buckets, F.col("w"))), F.when(F.col("v").isNotNull(), _bucket(buckets, F.col("w"), F.col("v"))))
+    feats = pairs.select("good", F.explode_outer(both).alias("b")).where("b is not null")
     counts = feats.groupBy("b").agg(F.count(F.lit(1)).alias("raw"), F.sum("good").alias("good")).collect()  # one row per bucket at most
     raw, good = sum(r.raw for r in counts), sum(r.good for r in counts)
     ratios = [math.log((raw + buckets) / (good + buckets)) if good else 0.0] * buckets
@@ -49,13 +57,16 @@ def log_ratios(df: DataFrame, labels: DataFrame, buckets: int = BUCKETS, trusted
     return ratios
 
 
-def repeated_windows(ws: Column):
-    """3-word windows sorted by 64-bit hash (compared within one text only), and the test whether one stands there twice."""
-    n = F.size(ws)
-    grams = F.when(n >= 3, F.transform(F.slice(ws, 3, F.greatest(n - 2, F.lit(0))), lambda w, i: F.struct(F.xxhash64(F.get(ws, i), F.get(ws, i + 1), w).alias("h"), i.alias("i"))))
-    grams = F.array_sort(F.coalesce(grams, F.array().cast("array<struct<h:bigint,i:int>>")))
-    same = lambda g, x, k: F.coalesce(F.get(g, k - 1)["h"] == x["h"], F.lit(False)) | F.coalesce(F.get(g, k + 1)["h"] == x["h"], F.lit(False))
-    return grams, same
+def window_hashes(ws: Column) -> Column:
+    """64-bit hashes of all 3-word windows; they are compared within one text only."""
+    hashed = F.transform(F.slice(ws, 3, F.greatest(F.size(ws) - 2, F.lit(0))), lambda w, i: F.xxhash64(F.get(ws, i), F.get(ws, i + 1), w))
+    return F.when(F.size(ws) >= 3, hashed).otherwise(F.array().cast("array<bigint>"))
+
+
+def repeated_places(hashes: Column) -> Column:
+    """First words of the windows that stand there twice or more, in order. Sorting is only done where a hash repeats."""
+    placed = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), placed).otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))
 
 
 def measures(df: DataFrame, carry: bool = False) -> DataFrame:
@@ -68,9 +79,9 @@ def measures(df: DataFrame, carry: bool = False) -> DataFrame:
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         lines.alias("lines"), *row,
     )
-    grams, same = repeated_windows(F.col("ws"))
-    rows = rows.select("*", grams.alias("grams"))
-    rows = rows.withColumn("at", F.array_sort(F.transform(F.filter("grams", lambda x, k: same(F.col("grams"), x, k)), lambda x: x["i"])))
+    rows = rows.withColumn("hs", window_hashes(F.col("ws"))).withColumn("placed", repeated_places(F.col("hs")))
+    beside = lambda x, k: F.coalesce(F.get("placed", k - 1)["h"] == x["h"], F.lit(False)) | F.coalesce(F.get("placed", k + 1)["h"] == x["h"], F.lit(False))
+    rows = rows.withColumn("at", F.array_sort(F.transform(F.filter("placed", beside), lambda x: x["i"])))
     covered = F.aggregate(
         F.transform("at", lambda p, k: F.least(F.lit(3), F.coalesce(F.get("at", k + 1) - p, F.lit(3)))), F.lit(0).cast("long"), lambda a, x: a + x
     )
