@@ -25,6 +25,8 @@ from weirflow.llm.common import documents, from_planes, mix64, planes, slices, s
 WIDTH = 5
 NEED, OF = 3, 4  # Jaccard similarity of at least 3/4
 RANGE_BYTES = 12 << 20  # of text for one signature range
+CLASSES = 256
+BLOCK = 2_000  # members of a signature group compared with each other in one task
 FLUSH = 1 << 20  # signatures gathered in a task before they are sent
 
 
@@ -174,9 +176,11 @@ def _sets(df: DataFrame) -> DataFrame:
     def run(batches):
         cache = WordHashes()
         for ids, texts in slices(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([s.tobytes() for s in shingle_sets(texts, cache)], pa.binary())], ["doc_id", "set"])
+            sets = shingle_sets(texts, cache)
+            sketches = [np.minimum(np.bincount((s & np.uint64(CLASSES - 1)).astype(np.int64), minlength=CLASSES), 255).astype(np.uint8).tobytes() for s in sets]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(sketches, pa.binary())], ["doc_id", "set", "sketch"])
 
-    return df.mapInArrow(run, "doc_id long, set binary")
+    return df.mapInArrow(run, "doc_id long, set binary, sketch binary")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -235,13 +239,53 @@ def _links(met: DataFrame, about: DataFrame, docs: DataFrame) -> DataFrame:
     sets = written(_sets(docs.join(wanted, "doc_id")), "sets")
     links = written(_similar(star, sets), "links")
     label = components(links)
-    # What is left: members of one signature group in different components.
-    placed = rows.select("sig", "rep", "n").join(label.withColumnRenamed("doc_id", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    apart = placed.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("sig")
-    placed = written(placed.join(apart, "sig"), "apart")
-    other = placed.select("sig", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("label").alias("label_b"))
-    pairs = placed.withColumnRenamed("rep", "a").join(other, "sig").where((F.col("a") < F.col("b")) & (F.col("label") != F.col("label_b")) & close(F.col("n"), F.col("m"))).select("a", "b").distinct()
-    return links.unionByName(_similar(pairs, sets))
+    placed = _apart(rows.select("sig", "rep", "n"), label)
+    return links.unionByName(_similar(_close_pairs(placed, sets), sets))
+
+
+def _close_pairs(placed: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): pairs of one signature group in different components that their sketches do not rule out.
+
+    A sketch counts a set's shingles in 256 classes; the differences of two sketches are a lower bound of the differing shingles. Pairs
+    are looked at inside tasks and only those left are put out. A large group is cut into blocks that meet two by two.
+    """
+    size = placed.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    members = placed.join(size, "sig").join(sets.select(F.col("doc_id").alias("rep"), "sketch"), "rep")
+    members = members.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    members = members.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).select("sig", "i", "j", "own", "rep", "n", "label", "sketch")
+    groups = max(1, placed.count() // 20_000)
+    keyed = members.withColumn("g", F.pmod(F.xxhash64("sig", "i", "j"), F.lit(groups)))
+
+    def look(table):
+        cols = {c: table[c].to_numpy() for c in ("sig", "i", "j", "own", "rep", "n", "label")}
+        order = np.lexsort((cols["j"], cols["i"], cols["sig"]))
+        cols = {c: v[order] for c, v in cols.items()}
+        sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, CLASSES)[order]
+        cuts = np.flatnonzero(np.concatenate(([True], np.logical_or.reduce([cols[c][1:] != cols[c][:-1] for c in ("sig", "i", "j")]), [True])))
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            rep, n, label, own = (cols[c][lo:hi] for c in ("rep", "n", "label", "own"))
+            block, apart = sketch[lo:hi].astype(np.int16), cols["i"][lo] != cols["j"][lo]
+            for x in range(hi - lo - 1):
+                may = (label[x + 1 :] != label[x]) & (OF * np.minimum(n[x], n[x + 1 :]) >= NEED * np.maximum(n[x], n[x + 1 :]))
+                if apart:
+                    may &= own[x + 1 :] != own[x]
+                y = np.flatnonzero(may) + x + 1
+                if len(y):
+                    y = y[(OF + NEED) * np.abs(block[y] - block[x]).sum(1, dtype=np.int64) <= (OF - NEED) * (n[y] + n[x])]
+                    left.append(np.minimum(rep[y], rep[x]))
+                    right.append(np.maximum(rep[y], rep[x]))
+        pairs = np.unique(np.stack([np.concatenate(left), np.concatenate(right)]), axis=1)
+        return pa.table({"a": pairs[0], "b": pairs[1]})
+
+    return keyed.groupBy("g").applyInArrow(look, "a long, b long").distinct()
+
+
+def _apart(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """The members of signature groups whose members are not all in one component yet, with their ``label``."""
+    placed = rows.join(label.withColumnRenamed("doc_id", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    open_ = placed.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("sig")
+    return written(placed.join(open_, "sig"), "apart")
 
 
 def near_duplicates(df: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
