@@ -104,7 +104,7 @@ def test_guards(spark):
         validate.require_cast_rate(df, {"v": "double"})
     validate.require_cast_rate(df, {"v": "double"}, limit_pct=40)
     with pytest.raises(ValueError):
-        validate.require_row_count(df, low=10)
+        validate.require_row_count(df, low=10, high=100)
     assert validate.require_row_count(df, low=1, high=5) == 3
 
 

@@ -375,13 +375,13 @@ def loan_etl_parts(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Curated loans and dead letters from dirty text: clean, validate, keep the latest, derive."""
     judged = validate.with_errors(clean.clean_loans(raw_loans(t)), validate.loan_rules(AS_OF))
     good, bad = validate.split_by_errors(judged)
-    latest = latest_per_key(good, ["loan_id"], ["-application_date"])
+    latest = latest_per_key(good, ["loan_id"], ["-application_date", "-amount", "customer_id", "status"])
     curated = enrich.loan_classes(enrich.loan_economics(latest))
     return curated, bad
 
 
 @query("loan_etl", f"""WITH {RAW_LOANS_SQL}, {CLEAN_LOANS_SQL}, judged AS (SELECT *, {RULES_SQL} AS errors FROM cleaned),
- latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY loan_id ORDER BY application_date DESC) AS rn FROM judged WHERE len(errors) = 0) WHERE rn = 1),
+ latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY loan_id ORDER BY application_date DESC, amount DESC, customer_id, status) AS rn FROM judged WHERE len(errors) = 0) WHERE rn = 1),
  paid AS (SELECT *, {EMI_SQL} AS p FROM latest)
  SELECT loan_id, customer_id, loan_type, amount, interest_rate, term_months, status, region, application_date, credit_score,
  {r2('p')} AS monthly_payment, {r2('p * term_months - amount')} AS total_interest, {r2('p * term_months')} AS total_cost,

@@ -63,15 +63,21 @@ def access_audit(t):
     return gov.recent_access(rows, "ts", F.lit("2024-01-20").cast("timestamp_ntz"))
 
 
+def measured(t):
+    """Every document with its features, and its label where it has one."""
+    return t.documents.join(t.labels, "doc_id", "left").select("doc_id", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"),
+                                                               F.size(F.split("text", " ")).cast("double").alias("n_words"), F.col("quality").cast("int").alias("quality"))
+
+
 def labelled(t):
-    return t.documents.join(t.labels, "doc_id").select("doc_id", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"),
-                                                       F.size(F.split("text", " ")).cast("double").alias("n_words"), F.col("quality").cast("int").alias("quality"))
+    return measured(t).filter("quality is not null")
+
+
+HELD_OUT = "pmod(xxhash64(doc_id), 5) = 0"
 
 
-def _predicted(t):
-    rows = labelled(t)
-    model = learning.train_classifier(rows, "quality", ["n_chars", "n_words"], ["lang", "source"])
-    return learning.predict(model, rows, ["doc_id", "quality"])
+def _model(rows):
+    return learning.train_classifier(rows, "quality", ["n_chars", "n_words"], ["lang", "source"])
 
 
 @query("ml_train")
@@ -85,12 +91,15 @@ def ml_train(t):
 
 @query("ml_predict")
 def ml_predict(t):
-    return _predicted(t)
+    """Fitted on the labels, applied to all documents."""
+    return learning.predict(_model(labelled(t)), measured(t), ["doc_id", "quality"])
 
 
 @query("ml_evaluate")
 def ml_evaluate(t):
-    scored = _predicted(t)
+    """Fitted on four fifths of the labels, measured on the rest."""
+    model = _model(labelled(t).filter(f"not ({HELD_OUT})"))
+    scored = learning.predict(model, labelled(t).filter(HELD_OUT), ["doc_id", "quality"])
     return learning.evaluate(scored, "quality").select("*", learning.area_under_roc(scored, "quality").scalar().alias("roc_auc"))
 
 

@@ -130,13 +130,13 @@ def cross_join(t):
 
 @query("semi_join", "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderdate >= DATE '2001-01-01')")
 def semi_join(t):
-    recent = t.orders.filter("o_orderdate >= timestamp_ntz '2001-01-01'").select(F.col("o_custkey").alias("c_custkey"))
+    recent = t.orders.filter("o_orderdate >= timestamp_ntz '2001-01-01'").select(F.col("o_custkey").alias("c_custkey")).distinct()  # a hot right side cannot be split
     return t.customer.join(recent, "c_custkey", "left_semi").select("c_custkey", "c_name")
 
 
 @query("anti_join", "SELECT c_custkey, c_name FROM customer LEFT JOIN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate >= DATE '2001-01-01') ON c_custkey = o_custkey WHERE o_custkey IS NULL")
 def anti_join(t):
-    recent = t.orders.filter("o_orderdate >= timestamp_ntz '2001-01-01'").select(F.col("o_custkey").alias("c_custkey"))
+    recent = t.orders.filter("o_orderdate >= timestamp_ntz '2001-01-01'").select(F.col("o_custkey").alias("c_custkey")).distinct()
     return t.customer.join(recent, "c_custkey", "left_anti").select("c_custkey", "c_name")
 
 

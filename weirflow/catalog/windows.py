@@ -107,12 +107,13 @@ def ordered_funnel(t):
 
 
 @query("missing_dates", """WITH l AS (SELECT DISTINCT user_id AS source, CAST(ts AS DATE) AS day FROM events WHERE (day(ts) + user_id) % 5 <> 0),
- c AS (SELECT source, CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY)) AS DATE) AS day FROM (SELECT DISTINCT source FROM l)),
+ c AS (SELECT source, CAST(unnest(generate_series((SELECT min(day) FROM l), (SELECT max(day) FROM l), INTERVAL 1 DAY)) AS DATE) AS day FROM (SELECT DISTINCT source FROM l)),
  m AS (SELECT c.source, c.day FROM c LEFT JOIN l ON c.source = l.source AND c.day = l.day WHERE l.day IS NULL),
  g AS (SELECT *, day - CAST(row_number() OVER (PARTITION BY source ORDER BY day) AS INTEGER) AS grp FROM m) SELECT source, MIN(day) AS gap_start, MAX(day) AS gap_end, COUNT(*) AS days_missing FROM g GROUP BY source, grp""")
 def missing_dates(t):
     loads = t.events.filter((F.dayofmonth("ts") + F.col("user_id")) % 5 != 0).select(F.col("user_id").alias("source"), F.to_date("ts").alias("day"))
-    return windows.missing_ranges(loads, "source", "day", F.lit("2024-01-01").cast("date"), F.lit("2024-01-30").cast("date"))
+    first, last = (loads.agg(f("day")).scalar() for f in (F.min, F.max))
+    return windows.missing_ranges(loads, "source", "day", first, last)
 
 
 @query("scd2_build", """WITH d AS (SELECT * FROM (SELECT o_custkey, o_orderpriority AS segment, o_orderstatus AS status, CAST(o_orderdate AS DATE) AS day, row_number() OVER (PARTITION BY o_custkey, CAST(o_orderdate AS DATE) ORDER BY o_orderkey DESC) AS rn FROM orders) WHERE rn = 1),

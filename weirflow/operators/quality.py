@@ -160,7 +160,7 @@ def daily_alerts(daily: DataFrame, day: str, rows: str, nulls: str, null_pct: fl
 
 def silent_sources(expected: DataFrame, rows: DataFrame, source: str, valid: Column) -> DataFrame:
     """Expected sources without a single valid row."""
-    return expected.join(rows.filter(valid).select(source), source, "left_anti")
+    return expected.join(rows.filter(valid).select(source).distinct(), source, "left_anti")
 
 
 def misfiled(df: DataFrame, partition: str, ts: str) -> DataFrame:

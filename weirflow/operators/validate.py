@@ -148,7 +148,7 @@ def require_cast_rate(df: DataFrame, types: Mapping[str, str], limit_pct: float
             raise ValueError(f"{row.column_name}: {row.failures} of {row.total_rows} values ({rate:.1f}%) do not cast")
 
 
-def require_row_count(df: DataFrame, low: int = 100, high: int = 1_000_000) -> int:
+def require_row_count(df: DataFrame, low: int, high: int) -> int:
     """Raise when the number of rows is outside the bounds."""
     n = df.count()
     if n < low:

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+# Functions of this package travel to the executors whole; nothing has to be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__package__])
+
 # Runtime SQL settings that results or hot-key handling depend on.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
