@@ -1,6 +1,7 @@
 """Nulls, empty texts and tables, ties, repeated rows and clashing columns for every operator of the subpackage."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from weirflow.llm import chat, ctw, decontaminate, html, jaccard, licenses, mixing, pii, quality, substrings
 
@@ -107,7 +108,7 @@ def test_pii_spans_and_replacement(spark, docs):
 
 def test_pii_disclosing_terms(spark):
     """A word that stands beside one address in several contexts, and nowhere else, gives it away."""
-    rows = [(k, f"note {k} from zorblax chief{k} a{k} b{k} boss@corp.example.com the c{k} d{k} end", "s") for k in range(5)]
+    rows = [(k, f"note {w} from zorblax chief {w} boss@corp.example.com the {w} end", "s") for k, w in enumerate(("oak", "elm", "fir", "yew", "ash"))]
     rows += [(100 + k, f"plain text {k} about the weather and note", "s") for k in range(200)]
     got = pii.report(frame(spark, rows)).where("n_term > 0").collect()
     assert sorted(r.doc_id for r in got) == [0, 1, 2, 3, 4]
@@ -143,7 +144,7 @@ def test_quality_without_trusted(spark, docs):
 def test_chat_edges(spark):
     rows = [(1, 1, "user", None), (1, 0, None, "x\\<|im_end|>"), (1, 2, "user", "</s>"), (1, 2, "user", "</s>"), (None, None, "assistant", "a<|im_next|>b\\"), (2, 5, "assistant", "")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    out = {r.conv_id: r for r in chat.format_chats(df).select("conv_id", "formatted", chat.read_turns("formatted" and __import__("pyspark").sql.functions.col("formatted")).alias("turns")).collect()}
+    out = {r.conv_id: r for r in chat.format_chats(df).select("conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns")).collect()}
     assert [(t.role, t.text) for t in out[1].turns] == [("", "x\\<|im_end|>"), ("user", ""), ("user", "</s>"), ("user", "</s>")]
     assert [(t.role, t.text) for t in out[None].turns] == [("assistant", "a<|im_next|>b\\")]
     got = {r.conv_id: r for r in chat.digest(chat.format_chats(df)).collect()}
