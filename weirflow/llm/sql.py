@@ -2,4 +2,43 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from weirflow.llm.chat import CONTROL, END, NEXT, SEP, START
+
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _escaped(column: str) -> str:
+    sql = f"replace(coalesce({column}, ''), '\\', '\\\\')"
+    for mark in CONTROL:
+        sql = f"replace({sql}, '{mark}', '{mark[0]}\\{mark[1:]}')"
+    return sql
+
+
+OP1 = f"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+ UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+ m AS (SELECT *, role IS DISTINCT FROM lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS starts FROM t)
+ SELECT conv_id, COUNT(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+ CAST(coalesce(SUM(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+ sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+ CAST(SUM(length({_escaped('text')}) + CASE WHEN starts THEN {len(START + SEP + END)} + length({_escaped('role')}) ELSE {len(NEXT)} END) AS BIGINT) AS formatted_chars
+ FROM m GROUP BY conv_id"""
+
+OP3 = f"""WITH d AS (SELECT doc_id, {_WORDS.format('text')} AS ws FROM documents), b AS (SELECT item_id, ws, least(10, len(ws)) AS size FROM (SELECT item_id, {_WORDS.format('text')} AS ws FROM benchmark) WHERE len(ws) > 0),
+ g AS (SELECT DISTINCT item_id, size, array_to_string(ws[i : i + size - 1], ' ') AS w FROM (SELECT *, unnest(range(1, len(ws) - size + 2)) AS i FROM b)),
+ p AS (SELECT doc_id, size, i, array_to_string(ws[i : i + size - 1], ' ') AS w FROM (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM d, (SELECT DISTINCT size FROM g))),
+ h AS (SELECT doc_id, i, p.size, item_id FROM p JOIN g ON p.size = g.size AND p.w = g.w),
+ n AS (SELECT doc_id, COUNT(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS k FROM h) GROUP BY doc_id),
+ s AS (SELECT doc_id, COUNT(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY doc_id)
+ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+ FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN s ON d.doc_id = s.doc_id"""
+
+OP4 = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+ g AS (SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS s FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)),
+ n AS (SELECT doc_id, COUNT(*) AS n FROM g GROUP BY doc_id),
+ pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, COUNT(*) AS k FROM g a JOIN g b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+ links AS (SELECT a, b FROM pairs JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * k >= 75 * (x.n + y.n - k)),
+ r AS (SELECT a AS doc_id, a AS seen FROM links UNION SELECT r.doc_id, l.b FROM r JOIN links l ON r.seen = l.a)
+ SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.m, w.doc_id) AS component_id FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN (SELECT doc_id, MIN(seen) AS m FROM r GROUP BY doc_id) c ON w.doc_id = c.doc_id"""
+
+ORACLES: dict[str, str] = {"op1_chat_format": OP1, "op3_decontaminate": OP3, "op4_jaccard_join": OP4}
