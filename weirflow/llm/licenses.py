@@ -1,18 +1,19 @@
 """License scans: sparse TF-IDF cosine of header lines and licence files to templates, then inheritance along the path.
 
 Spark expressions only. Every line of a file that shares two words or more with a template is compared with all templates; a licence
-file is compared as a whole as well. A file without a match of its own takes the licence of the nearest directory above it that has a
-licence file, found by joining each file's ancestor paths with the directories.
+file is compared as a whole as well. Cosines are worked out inside the row, so texts are never shuffled: one pass counts in how many
+lines each template word stands, the next scores. A file without a match of its own takes the licence of the nearest directory above
+it that has a licence file: the ancestor paths of every directory are joined with those directories, then files with their directory.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import words
+from weirflow.llm.common import held_above, words, written
 
 COSINE = 0.8
 # Usual short licence statements.
@@ -45,32 +46,65 @@ def _template_rows(spark, templates: dict[str, list[str]]) -> DataFrame:
     return spark.createDataFrame(rows, "license string, variant int, text string")
 
 
+def _sum_of_squares(ordered: Column) -> Column:
+    """Sum of the squared counts of each word of a sorted array, in one walk: the r-th of a run adds r^2 - (r-1)^2."""
+
+    def step(acc: Column, w: Column) -> Column:
+        run = F.when(acc["word"] == w, acc["run"] + 1).otherwise(F.lit(1.0))
+        return F.struct(w.alias("word"), run.alias("run"), (acc["squares"] + 2 * run - 1).alias("squares"))
+
+    start = F.struct(F.lit("").alias("word"), F.lit(0.0).alias("run"), F.lit(0.0).alias("squares"))
+    return F.aggregate(ordered, start, step, lambda acc: acc["squares"])
+
+
+def _sum(items: Column, of) -> Column:
+    return F.aggregate(items, F.lit(0.0), lambda a, x: a + of(x))
+
+
+def _lookup(weights: dict[str, float]) -> Column:
+    return F.create_map(*(F.lit(x) for pair in sorted(weights.items()) for x in pair))
+
+
 def matches(files: DataFrame, templates: dict[str, list[str]], cosine: float) -> DataFrame:
     """(file, license, score): the best template of each file at or above ``cosine``; ties go to the first name."""
-    spark = files.sparkSession
-    known = _template_rows(spark, templates).select("license", "variant", F.explode(terms(F.col("text"))).alias("t")).groupBy("license", "variant", "t").agg(F.count(F.lit(1)).alias("tf"))
-    vocabulary = sorted(r.t for r in known.select("t").distinct().collect())
-    vocab = F.array(*(F.lit(t) for t in vocabulary))
-    lines = files.select("file", F.posexplode_outer(F.filter(F.split("text", "\n", -1), lambda s: F.length(s) > 0)).alias("line", "s"))
-    whole = files.where("licence_file").select("file", F.lit(-1).alias("line"), F.col("text").alias("s"))
-    units = lines.where("line is not null").unionByName(whole).select("file", "line", terms(F.col("s")).alias("ts"))
-    shared = F.array_intersect("ts", vocab)
-    df = {r.t or "": r.n for r in units.select(F.explode_outer(shared).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()}  # template words only
-    n = units.count()
-    idf = {t: math.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in vocabulary}
+    known = _template_rows(files.sparkSession, templates).select("license", "variant", F.explode(terms(F.col("text"))).alias("t"))
+    known = known.groupBy("license", "variant", "t").agg(F.count(F.lit(1)).alias("tf")).collect()  # the words of the templates
+    vocab = F.array(*(F.lit(t) for t in sorted({r.t for r in known}))).cast("array<string>")
+    lines = F.filter(F.split("text", "\n", -1), lambda s: F.length(s) > 0)
+    whole = F.when(F.col("licence_file"), F.array("text")).otherwise(F.array().cast("array<string>"))
+    units = files.select("file", F.explode_outer(F.concat(lines, whole)).alias("s")).where("s is not null").select("file", terms(F.col("s")).alias("ts"))
+    units = units.withColumn("shared", F.array_intersect("ts", vocab))
+    # The empty string stands for the unit itself: one pass gives the number of units and the units of each template word.
+    seen = units.select(F.explode_outer(F.concat(F.array(F.lit("")), "shared")).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()
+    df = {r.t: r.n for r in seen}
+    n = df.get("", 0)
+    idf = {r.t: math.log((1 + n) / (1 + df.get(r.t, 0))) + 1 for r in known}
     other = math.log(1 + n) + 1  # words of no template count as seen nowhere
-    weight = spark.createDataFrame([(t, w) for t, w in idf.items()], "t string, idf double")
-    model = known.join(F.broadcast(weight), "t").withColumn("w", F.col("tf") * F.col("idf"))
-    model = model.withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("license", "variant"))))
-    near = units.where(F.size(shared) >= 2)
-    bag = near.select("file", "line", F.explode("ts").alias("t")).groupBy("file", "line", "t").agg(F.count(F.lit(1)).alias("tf")).join(F.broadcast(weight), "t", "left")
-    bag = bag.withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(other)))
-    length = bag.groupBy("file", "line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
-    # The model has one row per template word: a bounded table.
-    dots = bag.join(F.broadcast(model.select("license", "variant", "t", F.col("w").alias("v"), "norm")), "t")
-    dots = dots.groupBy("file", "line", "license", "variant", "norm").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
-    scored = dots.join(length, ["file", "line"]).withColumn("score", F.round(F.col("dot") / F.col("norm") / F.col("length"), 6)).where(F.col("score") >= cosine)
-    best = scored.groupBy("file").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b"))
+    model: dict[tuple[str, int], dict[str, float]] = {}
+    for r in known:
+        model.setdefault((r.license, r.variant), {})[r.t] = r.tf * idf[r.t]
+    if not model:
+        return files.select("file", F.lit("").alias("license"), F.lit(0.0).alias("score")).where(F.lit(False))
+    # A cosine of c asks that the template words of a line weigh c^2 / (1 - c^2) times its other words at least, squared and summed.
+    # First with the greatest weight for every template word, then with their own; whole lengths are worked out for the rest only.
+    floor = (cosine - 1e-6) ** 2
+    units = units.withColumn("strange", F.size(F.array_distinct("ts")) - F.size("shared"))
+    most = F.size("ts") - F.col("strange")
+    near = held_above(units.withColumn("near", (F.size("shared") >= 2) & (most * most * (1 - floor) >= floor * F.col("strange"))), "near")
+    count = lambda t: (F.size("ts") - F.size(F.array_remove("ts", t))).cast("double")
+    near = near.select("file", "ts", "strange", F.transform("shared", lambda t: F.struct(t.alias("t"), count(t).alias("tf"), F.element_at(_lookup(idf), t).alias("idf"))).alias("ws"))
+    near = near.withColumn("weight", _sum(F.col("ws"), lambda x: x["tf"] * x["tf"] * x["idf"] * x["idf"]))
+    near = held_above(near, f"weight * {1 - floor!r} >= strange * {floor * other * other!r}")
+    rest = _sum_of_squares(F.sort_array("ts")) - _sum(F.col("ws"), lambda x: x["tf"] * x["tf"])
+    near = near.select("file", "ws", F.sqrt(rest * other * other + F.col("weight")).alias("length"))
+    scores = []
+    for (name, _), weights in sorted(model.items()):
+        norm = math.sqrt(sum(w * w for w in weights.values()))
+        table = _lookup(weights)
+        dot = _sum(F.col("ws"), lambda x, table=table: x["tf"] * x["idf"] * F.coalesce(F.element_at(table, x["t"]), F.lit(0.0)))
+        scores.append(F.struct((-F.round(dot / norm / F.col("length"), 6)).alias("s"), F.lit(name).alias("license")))
+    best = held_above(near.select("file", F.array_min(F.array(*scores)).alias("b")), f"b.s <= {-cosine!r}")
+    best = best.groupBy("file").agg(F.min("b").alias("b"))
     return best.select("file", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"))
 
 
@@ -79,24 +113,22 @@ def scan(df: DataFrame, path_col: str = "path", text_col: str = "text", template
 
     Paths use "/". Repeated paths count as one file with all their lines; a null path is the file with no directory. Null and empty texts
     match nothing. With several licence files in one directory the best score, then the first name, holds. An empty table gives no rows.
+    Extra columns of the input are not read.
     """
     templates = templates or TEMPLATES
     files = df.select(F.coalesce(df[path_col].cast("string"), F.lit("")).alias("file"), F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text"))
-    name = F.element_at(F.split("file", "/"), -1)
-    files = files.withColumn("licence_file", name.rlike(LICENCE_FILES))
-    own = matches(files, templates, cosine)
-    paths = files.select("file").distinct()
-    directory = lambda f: F.regexp_replace(f, "/?[^/]*$", "")
-    held = own.where(F.element_at(F.split("file", "/"), -1).rlike(LICENCE_FILES)).select(directory(F.col("file")).alias("dir"), "license", "score")
-    held = held.groupBy("dir").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b")).select("dir", F.col("b.license").alias("dir_license"), (-F.col("b.s")).alias("dir_score"))
-    mine = paths.join(own, "file", "left")
-    bare = mine.where("license is null").select("file")
-    parts = F.split("file", "/")
-    above = bare.select("file", F.explode(F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda i: F.array_join(F.slice(parts, 1, i), "/"))).alias("dir"))
-    nearest = above.join(held, "dir").groupBy("file").agg(F.max_by(F.struct("dir", "dir_license", "dir_score"), F.length("dir")).alias("d"))
-    rows = mine.join(nearest, "file", "left")
+    is_licence = F.element_at(F.split("file", "/"), -1).rlike(LICENCE_FILES)
+    own = written(matches(files.withColumn("licence_file", is_licence), templates, cosine), "licences")
+    directory = F.regexp_replace("file", "/?[^/]*$", "")
+    held = own.where(is_licence).groupBy(directory.alias("up")).agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b"))
+    mine = written(files.select("file").distinct().join(own, "file", "left").withColumn("dir", directory), "files")
+    parts = F.split("dir", "/")
+    ups = F.when(F.col("dir") == "", F.array(F.lit(""))).otherwise(F.transform(F.sequence(F.lit(0), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/")))
+    above = mine.where("license is null").select("dir").distinct().select("dir", F.explode_outer(ups).alias("up"))
+    nearest = above.join(held, "up").groupBy("dir").agg(F.max_by(F.struct("up", "b"), F.length("up")).alias("d"))
+    rows = mine.join(nearest, "dir", "left")
     via = F.when(F.col("license").isNotNull(), "own").when(F.col("d").isNotNull(), "inherited").otherwise("none")
     return rows.select(
-        F.col("file").alias("path"), F.coalesce("license", "d.dir_license").alias("license"), F.coalesce("score", "d.dir_score").alias("score"),
-        via.alias("via"), F.when(via == "inherited", F.col("d.dir")).alias("from_dir"),
+        F.col("file").alias("path"), F.coalesce("license", "d.b.license").alias("license"), F.coalesce("score", -F.col("d.b.s")).alias("score"),
+        via.alias("via"), F.when(via == "inherited", F.col("d.up")).alias("from_dir"),
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from weirflow.llm import chat, ctw, decontaminate, html, jaccard, licenses, mixing, pii, quality, substrings
+from weirflow.llm.common import written
 from weirflow.llm.sql import ORACLES  # noqa: F401
 from weirflow.session import prepare
 
@@ -68,7 +69,8 @@ def licence_paths(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "source", "lang", "text")
     folder = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.floor(F.col("doc_id") / 100).cast("string"))
     docs = docs.withColumn("folder", folder)
-    first = docs.groupBy("folder").agg(F.min("doc_id").alias("first"))
+    # Written first, so that Spark knows its size before it decides whether texts have to be shuffled.
+    first = written(docs.groupBy("folder").agg(F.min("doc_id").alias("first")), "folders")
     docs = docs.join(first, "folder")
     name = F.when(F.col("doc_id") == F.col("first"), "LICENSE").otherwise(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(".txt")))
     return docs.select(F.concat_ws("/", "folder", name).alias("path"), "text")
