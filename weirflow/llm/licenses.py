@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import held_above, words, written
+from weirflow.llm.common import SPACE, held_above, written
 
 COSINE = 0.8
 # Usual short licence statements.
@@ -36,9 +36,16 @@ TEMPLATES = {
 LICENCE_FILES = r"(?i)^(un)?licen[cs]e(\..*)?$|^copying(\..*)?$"
 
 
+EDGE = ".,;:!?()[]{}\"'*/#<>-"
+_EDGE_CLASS = r".,;:!?()\[\]{}\"'*/#<>\-"
+# A run of punctuation is entered at its start only, so long runs stay linear.
+_BETWEEN = rf"(?<![{_EDGE_CLASS}])[{_EDGE_CLASS}]*+[\x20\x09-\x0D][{_EDGE_CLASS}\x20\x09-\x0D]*+"
+
+
 def terms(text: Column) -> Column:
     """Lower-case words without leading and trailing punctuation."""
-    return F.filter(F.transform(words(F.lower(text)), lambda w: F.btrim(w, F.lit(".,;:!?()[]{}\"'*/#<>-"))), lambda w: w != "")
+    inner = F.btrim(F.lower(text), F.lit(SPACE + EDGE))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, _BETWEEN))
 
 
 def _template_rows(spark, templates: dict[str, list[str]]) -> DataFrame:
