@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from weirflow.llm.common import small_batches
 
-SAMPLE = 2_000  # labelled pages for the tag weights, the first by hash of the url and id
+SAMPLE = 2_000  # labelled pages for the tag weights, the first by hash of the id and url
 # Fixed values of HTML: elements without shown text, elements that break a block, and containers that are not the article.
 HIDDEN = "script style noscript template head title iframe object svg math canvas audio video".split()
 BLOCKS = set(
@@ -119,7 +119,10 @@ def main_text(page: str, weights: dict[str, float]) -> str:
 
 def tag_weights(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
     """A positive weight per tag name: the log of how much more often it stands outside marked articles than inside, at least 0.1."""
-    marked = pages.where(F.col("html").rlike("(?i)<(article|main)[ >]")).orderBy(F.xxhash64("page_id", "url"), "page_id").limit(sample)
+    marked = pages.where(F.col("html").rlike("(?i)<(article|main)[ >]")).withColumn("h", F.xxhash64("page_id", "url")).withColumn("x", F.xxhash64("html"))
+    # Chosen by keys alone, so that the pages themselves stay where they are until they are few; repeated rows count once.
+    first = marked.select("h", "page_id", "x").distinct().orderBy("h", "page_id", "x").limit(sample).select("h", "x")
+    marked = marked.join(F.broadcast(first), ["h", "x"], "left_semi").dropDuplicates(["h", "x"])
 
     def count(frames):
         for frame in frames:
