@@ -206,3 +206,16 @@ def test_licenses(spark):
     assert got["a/b/c/x.py"] == ("Apache-2.0", "inherited") and got["a/y.py"] == ("MIT", "inherited") and got["a/b/d/e.py"] == ("CC-BY-NC-4.0", "own")
     assert got["z/x.py"] == (None, "none") and got[""] == (None, "none")
     assert licenses.scan(spark.createDataFrame([], "path string, text string")).count() == 0
+
+
+def test_licenses_renamed(spark):
+    """Renaming files gives the rows that the final paths themselves give; an empty renaming changes nothing."""
+    text = "All rights\n---\nreserved."
+    rows = [("a/1", text, "a/LICENSE"), ("a/2", "plain words", None), ("a/b/3", None, None), ("a/b/3", "", None), ("c/4", "Licensed under the MIT License\nrest", "c/5")]
+    files = spark.createDataFrame([r[:2] for r in rows], "path string, text string")
+    renamed = spark.createDataFrame([(r[0], r[2]) for r in rows if r[2]], "file string, path string")
+    direct = spark.createDataFrame([(r[2] or r[0], r[1]) for r in rows], "path string, text string")
+    got = sorted(map(tuple, licenses.scan(files, renamed=renamed).collect()))
+    assert got == sorted(map(tuple, licenses.scan(direct).collect())) and len(got) == 4
+    assert {r[0]: (r[1], r[3]) for r in got} == {"a/LICENSE": ("Proprietary", "own"), "a/2": ("Proprietary", "inherited"), "a/b/3": ("Proprietary", "inherited"), "c/5": ("MIT", "own")}
+    assert sorted(map(tuple, licenses.scan(files, renamed=renamed.limit(0)).collect())) == sorted(map(tuple, licenses.scan(files).collect()))

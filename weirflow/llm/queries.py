@@ -64,21 +64,20 @@ def op9_html_text(spark, sf_dir):
     return html.extract(_table(spark, sf_dir, "pages"))
 
 
-def licence_paths(docs: DataFrame) -> DataFrame:
-    """Documents as files of a tree: source/language/hundred/id.txt. The smallest id of each hundred is that directory's LICENSE."""
-    docs = docs.select("doc_id", "source", "lang", "text")
+def licence_paths(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents as files of a tree: source/language/hundred/id.txt. The smallest id of each hundred is that directory's LICENSE:
+    its path in the second frame, so that texts need not be joined."""
     folder = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.floor(F.col("doc_id") / 100).cast("string"))
-    docs = docs.withColumn("folder", folder)
-    # Written first, so that Spark knows its size before it decides whether texts have to be shuffled.
-    first = written(docs.groupBy("folder").agg(F.min("doc_id").alias("first")), "folders")
-    docs = docs.join(first, "folder")
-    name = F.when(F.col("doc_id") == F.col("first"), "LICENSE").otherwise(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(".txt")))
-    return docs.select(F.concat_ws("/", "folder", name).alias("path"), "text")
+    file = lambda i: F.concat("folder", F.lit("/"), F.coalesce(F.col(i).cast("string"), F.lit("-")), F.lit(".txt"))
+    docs = docs.select("doc_id", "text", folder.alias("folder"))
+    first = docs.where("doc_id is not null").groupBy("folder").agg(F.min("doc_id").alias("first"))
+    return docs.select(file("doc_id").alias("path"), "text"), first.select(file("first").alias("file"), F.concat("folder", F.lit("/LICENSE")).alias("path"))
 
 
 def op10_license_scan(spark, sf_dir):
     """The licence of every document, its own or inherited along the path."""
-    return licenses.scan(licence_paths(_table(spark, sf_dir, "documents")))
+    files, first = licence_paths(_table(spark, sf_dir, "documents"))
+    return licenses.scan(files, renamed=written(first, "folders"))
 
 
 def pipeline(spark, sf_dir):
