@@ -184,6 +184,32 @@ def test_score_is_a_distribution(spark):
     assert p[:256].sum() == pytest.approx(1) and p[256:].sum() == pytest.approx(1) and p[97] > 0.5
 
 
+def test_deep_contexts_beat_the_word_base(spark, sf_dir):
+    """Contexts longer than four bytes count: held-out documents score above the word base."""
+    docs = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    whole, base = ctw.score(docs).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert whole > base
+
+
+def test_subtree_sums_equal_direct_counts():
+    """Counts of every depth are those counted from the n-grams, at the full 64 bits."""
+    from collections import Counter
+
+    import numpy as np
+
+    text = b"the cat sat on the mat, the cat ate the rat" * 3
+    codes, counts = np.unique(ctw.ngrams([text, bytes([0xC3, 0xA9, 0xF4]) * 5], 7)[0], return_counts=True)
+    tree = ctw.Subtree(codes, counts, 0, 7)
+    for d in range(8):
+        ones, zeros = Counter(), Counter()
+        for code, n in zip(codes.tolist(), counts.tolist()):
+            context, x = code >> 8, code & 255
+            for k in range(8):
+                key = ((context & ((1 << 8 * d) - 1)) << 8) | (1 << k) | (x >> (8 - k))
+                (ones if (x >> (7 - k)) & 1 else zeros)[key] += n
+        assert dict(zip(tree.keys[d].tolist(), zip(tree.zeros[d].tolist(), tree.ones[d].tolist()))) == {k: (zeros[k], ones[k]) for k in ones.keys() | zeros.keys()}
+
+
 def test_html_edges(spark):
     rows = [
         (1, "u", None), (2, "u", ""), (None, None, "<p>a &amp; b<br>c</p>\n<p> d\t e </p>"),

@@ -20,11 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import documents, text_bytes, written
+from weirflow.llm.common import documents, from_planes, planes, text_bytes, written
 
-DEPTH = 4  # context bytes
+DEPTH = 7  # context bytes: with the byte itself, all that a 64-bit code holds
 BLOCK_BYTES = 16 << 20
 SLICE_BYTES = 2 << 20
+MERGED = 3 << 20  # n-grams that wait to be summed
 HELD_OUT = 10
 END = 0xFF  # not a byte of UTF-8: stands before a text and ends it
 ADD = 0.1
@@ -59,10 +60,23 @@ def _text_slices(ids: list, texts: list[bytes]):
 
 
 def _sum_codes(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    if not codes:
+    if not sum(map(len, codes)):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    u, inv = np.unique(np.concatenate(codes), return_inverse=True)
-    return u, np.bincount(inv, np.concatenate(counts), len(u)).astype(np.int64)
+    u, n = np.concatenate(codes), np.concatenate(counts)
+    order = np.argsort(u)
+    u, n = u[order], n[order]
+    del order
+    first = np.flatnonzero(np.concatenate(([True], u[1:] != u[:-1])))
+    return u[first], np.add.reduceat(n, first, dtype=np.int64)
+
+
+def _packed(codes: np.ndarray) -> bytes:
+    """Sorted codes as byte planes of their differences, which compress."""
+    return planes(np.diff(codes, prepend=np.zeros(1, np.uint64)))
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(data, np.uint64), dtype=np.uint64)
 
 
 def _word_range(word: bytes, ranges: int) -> int:
@@ -71,13 +85,13 @@ def _word_range(word: bytes, ranges: int) -> int:
 
 def _code_range(codes: np.ndarray, ranges: int) -> np.ndarray:
     x = codes * np.uint64(0x9E3779B97F4A7C15)
-    return ((x >> np.uint64(32)) % np.uint64(ranges)).astype(np.int64)
+    return ((x >> np.uint64(32)) % np.uint64(ranges)).astype(np.int32)
 
 
 def inventory(ids: list, texts: list[bytes], depth: int, ranges: int):
     """The distinct words by range (sorted) with training counts, and the distinct n-gram codes with training counts."""
     trained, held = Counter(), set()
-    codes, counts = [], []
+    codes, counts, pending = [], [], 0
     for some, part in _text_slices(ids, texts):
         out = [is_held_out(i) for i in some]
         for text, h in zip(part, out):
@@ -90,6 +104,10 @@ def inventory(ids: list, texts: list[bytes], depth: int, ranges: int):
                 u, n = np.unique(ngrams(chosen, depth)[0], return_counts=True)
                 codes.append(u)
                 counts.append(n * (not flag))
+                pending += len(u)
+        if pending > MERGED:  # summed up as they come: memory follows the distinct ones
+            codes, counts = ([x] for x in _sum_codes(codes, counts))
+            pending = 0
     by_range: list[list[bytes]] = [[] for _ in range(ranges)]
     for w in trained.keys() | held:
         by_range[_word_range(w, ranges)].append(w)
@@ -108,7 +126,7 @@ def _ask(depth: int, ranges: int):
         for i, ws in enumerate(by_range):
             mine = r == i
             if ws or mine.any():
-                rows.append((i, block, b" ".join(ws), np.array([trained.get(w, 0) for w in ws], np.int64).tobytes(), codes[mine].tobytes(), counts[mine].tobytes()))
+                rows.append((i, block, b" ".join(ws), np.array([trained.get(w, 0) for w in ws], np.int64).tobytes(), _packed(codes[mine]), planes(counts[mine])))
         cols = list(zip(*rows))
         kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
         return pa.table([pa.array(c, t) for c, t in zip(cols, kinds)], names=[x.split()[0] for x in _ASKED.split(", ")])
@@ -129,13 +147,15 @@ def _totals(table):
         for w, c in zip(_words_of(row["words"], len(n)), n.tolist()):
             if c:
                 words[w] += c
-        codes.append(np.frombuffer(row["codes"], np.uint64))
-        counts.append(np.frombuffer(row["code_n"], np.int64))
+        codes.append(_unpacked(row["codes"]))
+        counts.append(from_planes(row["code_n"], np.int64))
+        if sum(map(len, codes[1:])) > MERGED:
+            codes, counts = ([x] for x in _sum_codes(codes, counts))
     u, n = _sum_codes(codes, counts)
     return pa.table({
         "r": pa.array([table["r"][0].as_py()] * (len(u) + 1), pa.int64()),
-        "code": pa.array([*u.view(np.int64).tolist(), None], pa.int64()),
-        "n": pa.array([*n.tolist(), sum(words.values())], pa.int64()),
+        "code": pa.array(np.append(u.view(np.int64), 0), pa.int64(), mask=np.arange(len(u) + 1) == len(u)),
+        "n": pa.array(np.append(n, sum(words.values())), pa.int64()),
         "known": pa.array([None] * len(u) + [len(words)], pa.int64()),
     })
 
@@ -162,37 +182,37 @@ class Subtree:
         x = (codes & np.uint64(255)).astype(np.int64)
         context = codes >> np.uint64(8)
         node = np.stack([(1 << k) | (x >> (8 - k)) for k in range(8)]).astype(np.uint64)  # which decision, by the bits before it
-        self.bits = np.stack([(x >> (7 - k)) & 1 for k in range(8)])
+        self.bits = np.stack([((x >> (7 - k)) & 1).astype(np.uint8) for k in range(8)])
         weight = np.broadcast_to(counts.astype(float), node.shape)
-        self.keys, self.index, self.zeros, self.ones = {}, {}, {}, {}
-        for d in range(top, depth + 1):
-            mask = np.uint64((1 << (8 * d)) - 1)
-            key = ((context & mask) << np.uint64(8))[None, :] | node
-            self.keys[d], inv = np.unique(key.ravel(), return_inverse=True)
-            self.index[d] = inv.reshape(node.shape)
-            size = len(self.keys[d])
-            self.ones[d] = np.bincount(inv, (weight * self.bits).ravel(), size)
-            self.zeros[d] = np.bincount(inv, (weight * (1 - self.bits)).ravel(), size)
-        self.own = {d: log_kt(self.zeros[d], self.ones[d]) for d in range(top, depth + 1)}
-        self.weighted, self.stay = {depth: self.own[depth]}, {}
+        self.keys, self.zeros, self.ones, self.parents = {}, {}, {}, {}
+        mask = np.uint64((1 << (8 * depth)) - 1)
+        self.keys[depth], inv = np.unique((((context & mask) << np.uint64(8))[None, :] | node).ravel(), return_inverse=True)
+        self.index = inv.reshape(node.shape)  # of the deepest node of each n-gram and decision
+        size = len(self.keys[depth])
+        self.ones[depth] = np.bincount(inv, (weight * self.bits).ravel(), size)
+        self.zeros[depth] = np.bincount(inv, (weight * (1 - self.bits)).ravel(), size)
+        for d in range(depth, top, -1):  # a node's counts are the sums of its children's
+            key, mask = self.keys[d], np.uint64((1 << (8 * (d - 1))) - 1)
+            self.keys[d - 1], up = np.unique((((key >> np.uint64(8)) & mask) << np.uint64(8)) | (key & np.uint64(255)), return_inverse=True)
+            self.parents[d] = up
+            self.ones[d - 1], self.zeros[d - 1] = (np.bincount(up, v, len(self.keys[d - 1])) for v in (self.ones[d], self.zeros[d]))
+        self.weighted, self.stay = {depth: log_kt(self.zeros[depth], self.ones[depth])}, {}
         for d in range(depth - 1, top - 1, -1):
-            self.weighted[d], self.stay[d] = mixed(self.own[d], np.bincount(self._parents(d + 1), self.weighted[d + 1], len(self.keys[d])))
-
-    def _parents(self, d: int) -> np.ndarray:
-        key = self.keys[d]
-        up = (((key >> np.uint64(8)) & np.uint64((1 << (8 * (d - 1))) - 1)) << np.uint64(8)) | (key & np.uint64(255))
-        return np.searchsorted(self.keys[d - 1], up)
+            below = np.bincount(self.parents[d + 1], self.weighted[d + 1], len(self.keys[d]))
+            self.weighted[d], self.stay[d] = mixed(log_kt(self.zeros[d], self.ones[d]), below)
 
-    def estimate(self, d: int) -> np.ndarray:
-        a, b = self.zeros[d][self.index[d]], self.ones[d][self.index[d]]
+    def estimate(self, d: int, index: np.ndarray) -> np.ndarray:
+        a, b = self.zeros[d][index], self.ones[d][index]
         return (np.where(self.bits == 1, b, a) + 0.5) / (a + b + 1)
 
     def predict(self) -> np.ndarray:
         """For each n-gram and bit: the mixture of the estimates of depth ``top`` and deeper."""
-        p = self.estimate(self.depth)
+        index = self.index
+        p = self.estimate(self.depth, index)
         for d in range(self.depth - 1, self.top - 1, -1):
-            stay = self.stay[d][self.index[d]]
-            p = stay * self.estimate(d) + (1 - stay) * p
+            index = self.parents[d + 1][index]
+            stay = self.stay[d][index]
+            p = stay * self.estimate(d, index) + (1 - stay) * p
         return p
 
 
@@ -276,7 +296,7 @@ def _answer(asked, model):
     codes = model["code"].to_numpy().view(np.uint64)
     order = np.argsort(codes)
     codes, logp = codes[order], model["logp"].to_numpy()[order]
-    out = [(x["block"], x["r"], np.array([words.get(w, 0) for w in x["split"]], np.int64).tobytes(), logp[np.searchsorted(codes, np.frombuffer(x["codes"], np.uint64))].tobytes()) for x in rows]
+    out = [(x["block"], x["r"], np.array([words.get(w, 0) for w in x["split"]], np.int64).tobytes(), logp[np.searchsorted(codes, _unpacked(x["codes"]))].tobytes()) for x in rows]
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
     return pa.table([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)], names=["block", "r", "word_n", "logp"])
 
