@@ -115,6 +115,31 @@ def test_pii_disclosing_terms(spark):
     assert "zorblax" not in pii.sanitise(frame(spark, rows)).where("doc_id = 2").first().text
 
 
+def test_pii_terms_of_rare_values_by_brute_force(spark):
+    """A value of one document has terms too, also far from it, and they go wherever they stand in the document."""
+    import math
+    import re
+
+    far = "filler text " * 30
+    rows = [(0, f"Quixotry opens. {far} ask rare@corp.example.com now {far} the quixotry ends", "s"), (1, f"vantor {far} twice@corp.example.com {far} Vantor", "s"), (2, f"{far} twice@corp.example.com vantor", "s")]
+    rows += [(100 + k, f"plain text {k} ask now the filler twice ends opens corp example com rare", "s") for k in range(2000)]
+    words = {i: set(re.findall("[a-z]{2,}", t.lower())) for i, t, _ in rows}
+    held = {i: set(re.findall(r"[\w.]+@[\w.]+", t)) for i, t, _ in rows}
+    n, expected = len(rows), {}
+    for i in held:
+        for e in held[i]:
+            n_e = sum(e in v for v in held.values())
+            for t in words[i]:
+                n_t, n_et = sum(t in v for v in words.values()), sum(t in words[j] and e in held[j] for j in held)
+                if math.log(n * n_et / (n_e * (n_t + 1))) / math.log(n / n_e) >= 0.9:
+                    expected.setdefault(i, set()).add(t)
+    assert expected == {0: {"quixotry"}, 1: {"vantor"}, 2: {"vantor"}}
+    df = frame(spark, rows)
+    assert {r.doc_id: r.n_term for r in pii.report(df).where("n_term > 0").collect()} == {0: 2, 1: 2, 2: 1}
+    clean = {r.doc_id: r.text for r in pii.sanitise(df).where("doc_id < 3").collect()}
+    assert all(t not in clean[i].lower() for i, ts in expected.items() for t in ts)
+
+
 def test_mix_is_whole_and_repeatable(spark, docs):
     one = sorted(map(str, mixing.mix(docs).collect()))
     assert one == sorted(map(str, mixing.mix(docs.repartition(7)).collect()))

@@ -2,9 +2,10 @@
 
 Spark expressions only. Protected entities are the values the patterns find. The corpus tells how strongly a word reveals one:
 with N documents, n(e) with the entity, n(t) with the word and n(e,t) with both, the word's pointwise mutual information with
-the entity is log2(N n(e,t) / (n(e) n(t))), and the entity's whole information is log2(N / n(e)). A word near an entity is
-disclosing when it carries at least ``DISCLOSURE`` of that information and stands with the entity in ``SUPPORT`` different
-contexts or more. Disclosing words are generalised wherever they occur in a document with the entity; base matches are removed.
+the entity is log2(N n(e,t) / (n(e) n(t))), and the entity's whole information is log2(N / n(e)). Any word of a document with the
+entity is disclosing when it carries at least ``DISCLOSURE`` of that information, the word counted as seen in one further
+document without the entity: so values of one document are judged as well, and what little data shows by chance is not. Disclosing
+words are generalised wherever they occur in a document with the entity; base matches are removed.
 """
 
 from __future__ import annotations
@@ -23,8 +24,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 
-NEAR = 8  # words on either side of an entity
-SUPPORT = 3  # different contexts that show word and entity together
+UNSEEN = 1  # further documents with the word and without the entity
 DISCLOSURE = 0.9  # share of the entity's information
 
 
@@ -95,7 +95,7 @@ def _named(kind: str):
 
 
 def _entity(kind: str):
-    return lambda s: F.struct(F.concat(F.lit(f"{kind}:"), s["value"]).alias("e"), s["start"].alias("start"), s["end"].alias("end"))
+    return lambda s: F.concat(F.lit(f"{kind}:"), s["value"])
 
 
 def _located(kind: str):
@@ -107,32 +107,23 @@ def _terms(text: Column) -> Column:
     return F.filter(F.split(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), r"[^\p{L}]+"), lambda w: F.length(w) >= 2)
 
 
-def disclosing_terms(docs: DataFrame, held: DataFrame, near: int = NEAR, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
+def disclosing_terms(docs: DataFrame, held: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     """(key, terms): the disclosing words of each document that holds a protected entity. Counts cover all documents.
 
-    ``docs``: all documents; ``held``: the rows of ``detect`` with spans. Copies count as documents but give one context.
+    ``docs``: all documents; ``held``: the rows of ``detect`` with spans. Copies and repeated rows count as documents.
     """
     spans = [F.transform(k, _entity(k)) for k in KINDS]
-    entities = held.select("key", "text", F.explode(F.concat(*spans)).alias("x"))
-    reach = 24 * near  # characters in which the near words are looked for
-    left = F.substring("text", F.greatest(F.col("x.start") - reach, F.lit(0)).cast("int") + 1, F.least(F.col("x.start"), F.lit(reach)).cast("int"))
-    right = F.substring("text", (F.col("x.end") + 1).cast("int"), F.lit(reach))
-    before, after = _terms(left), _terms(right)
-    context = F.concat(F.slice(before, F.greatest(F.size(before) - near, F.lit(0)) + 1, near), F.slice(after, 1, near))
-    seen = entities.select("key", F.col("x.e").alias("e"), context.alias("c"))
-    pairs = seen.select("key", "e", F.xxhash64("c").alias("ctx"), F.explode_outer(F.array_distinct("c")).alias("t"))
-    # Distinct first, count after: a hot entity or word spreads over its documents and contexts.
-    by_ctx = pairs.select("e", "t", "ctx").distinct().groupBy("e", "t").agg(F.count(F.lit(1)).alias("contexts")).where(F.col("contexts") >= support)
-    by_doc = pairs.select("e", "t", "key").distinct().join(by_ctx.select("e", "t"), ["e", "t"])
-    by_doc = written(by_doc, "near")
-    n_et = by_doc.groupBy("e", "t").agg(F.count(F.lit(1)).alias("n_et"))
-    n_e = entities.select(F.col("x.e").alias("e"), "key").distinct().groupBy("e").agg(F.count(F.lit(1)).alias("n_e"))
-    n_t = docs.select(F.explode_outer(F.array_distinct(_terms(F.col("text")))).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n_t"))
+    seen = held.select("key", F.explode(F.array_distinct(F.concat(*spans))).alias("e"), F.array_distinct(_terms(F.col("text"))).alias("ts"))
+    pairs = seen.select("key", "e", F.explode("ts").alias("t"))
+    # Each row gives a pair once, so pairs are counted before they travel; a hot entity spreads over its words.
+    n_et = pairs.groupBy("e", "t").agg(F.count(F.lit(1)).alias("n_et"))
+    n_e = seen.groupBy("e").agg(F.count(F.lit(1)).alias("n_e"))
+    n_t = docs.select(F.explode(F.array_distinct(_terms(F.col("text")))).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n_t"))
     n = docs.count()
     told = n_et.join(n_e, "e").join(n_t, "t")
-    share = F.log(n * F.col("n_et") / (F.col("n_e") * F.col("n_t"))) / F.log(n / F.col("n_e"))
-    told = told.where((F.col("n_e") < n) & (share >= disclosure)).select("e", "t")
-    return by_doc.join(told, ["e", "t"]).select("key", "t").distinct().groupBy("key").agg(F.array_sort(F.collect_list("t")).alias("terms"))
+    share = F.log(n * F.col("n_et") / (F.col("n_e") * (F.col("n_t") + UNSEEN))) / F.log(n / F.col("n_e"))
+    told = written(told.where((F.col("n_e") < n) & (share >= disclosure)).select("e", "t"), "told")
+    return pairs.join(told, ["e", "t"]).select("key", "t").distinct().groupBy("key").agg(F.array_sort(F.collect_list("t")).alias("terms"))
 
 
 def term_spans(held: DataFrame, terms: DataFrame) -> DataFrame:
@@ -147,11 +138,11 @@ def term_spans(held: DataFrame, terms: DataFrame) -> DataFrame:
     return rows.select("key", apart.alias(TERM))
 
 
-def _all_spans(df: DataFrame, carry: bool, near: int, support: int, disclosure: float) -> DataFrame:
+def _all_spans(df: DataFrame, carry: bool, disclosure: float) -> DataFrame:
     """The detected spans of every document with a ``term`` column beside the base kinds."""
     found = detect(df, carry)
     held = written(held_above(detect(df), " or ".join(f"size({k}) > 0" for k in KINDS)).select("key", "text", *KINDS), "held")
-    terms = term_spans(held, disclosing_terms(documents(df), held, near, support, disclosure))
+    terms = term_spans(held, disclosing_terms(documents(df), held, disclosure))
     rows = found if carry else found.drop("text")
     return rows.join(written(terms, "terms"), "key", "left").withColumn(TERM, F.coalesce(TERM, F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")))
 
@@ -160,21 +151,21 @@ def _told(kinds) -> Column:
     return F.array_join(F.concat(*(F.transform(k, _located(k)) for k in kinds)), ",")
 
 
-def report(df: DataFrame, near: int = NEAR, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
+def report(df: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     """One row per document: doc_id, n_email, n_ip, n_card, n_phone, n_term, base_sha256, spans.
 
     Null and empty texts have no spans; an entity that every document holds reveals nothing. Repeated rows and null ids each keep
     their row. Spans of different kinds may overlap; term spans avoid base spans. An empty table gives no rows.
     """
-    rows = _all_spans(df, False, near, support, disclosure)
+    rows = _all_spans(df, False, disclosure)
     counts = [F.size(k).cast("long").alias(f"n_{k}") for k in (*KINDS, TERM)]
     return rows.select("doc_id", *counts, F.sha2(_told(KINDS), 256).alias("base_sha256"), _told((*KINDS, TERM)).alias("spans"))
 
 
-def sanitise(df: DataFrame, near: int = NEAR, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
+def sanitise(df: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     """The input rows with the spans in ``text`` replaced by [EMAIL], [IP], [CARD], [PHONE] or [TERM]; overlapping spans become one,
     named after the first. A null text stays null."""
-    rows = _all_spans(df, True, near, support, disclosure)
+    rows = _all_spans(df, True, disclosure)
     spans = F.array_sort(F.concat(*(F.transform(k, _named(k)) for k in (*KINDS, TERM))))
 
     def step(acc: Column, s: Column) -> Column:
