@@ -148,6 +148,23 @@ def test_mix_is_whole_and_repeatable(spark, docs):
     assert sum(words[(r.doc_id, r.text)] for r in mixing.mix(docs).collect()) == told
 
 
+def test_mix_report_shows_what_the_tree_deals(spark, monkeypatch):
+    """The report counts dealt copies: it equals the mix, and a unit that the tree loses is missing from both."""
+    df = frame(spark, [(k, f"text {k} " * (k % 7 + 1), "abc"[k % 3]) for k in range(300)])
+    options = {"block_words": 40, "shard_words": 60}
+    size = {r.doc_id: len(r.text.split()) for r in df.collect()}
+
+    def both():
+        told = {r.doc_id: r.taken for r in mixing.mix_report(df, **options).collect()}
+        rows = [r.doc_id for r in mixing.mix(df, **options).collect()]
+        assert told == {i: n * rows.count(i) for i, n in size.items()}
+        return sum(told.values())
+
+    whole, runs = both(), mixing.shard_runs
+    monkeypatch.setattr(mixing, "shard_runs", lambda *a: runs(*a).where("shard > 0"))
+    assert both() < whole
+
+
 def test_mix_targets():
     assert mixing.targets([("a", 100), ("b", 100), ("c", 100)]) == pytest.approx([200, 166.6666667, 83.3333333])
     assert mixing.targets([("a", 0), ("b", 10)]) == pytest.approx([0, 15])

@@ -137,15 +137,36 @@ def taken(docs: DataFrame, small: DataFrame, drawn: DataFrame) -> DataFrame:
     return rows.withColumn("times", F.col("times") + inside.cast("int")).drop("part", "cut")
 
 
-def mix_report(df: DataFrame, seed: int = 7, **options) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken.
+def dealt(docs: DataFrame, small: DataFrame, drawn: DataFrame, sources: DataFrame, seed: int, shard_words: int) -> DataFrame:
+    """The documents once for each copy that the tree deals to a shard, with ``copy`` and ``shard``. ``small``: the same documents
+    without texts."""
+    spark = docs.sparkSession
+    copies = F.col("times") + F.col("part").isNotNull().cast("int")
+    units = drawn.where(copies > 0).select("src", "block", "place", F.explode(F.sequence(F.lit(1), copies)).alias("copy"))
+    # A unit is one draw of a block; its rank in the source's permuted order: first copies first.
+    rank = F.row_number().over(Window.partitionBy("src").orderBy("copy", "place")) - 1
+    units = units.withColumn("rank", rank)
+    quotas = {r.src: r.n for r in units.groupBy("src").agg(F.count(F.lit(1)).alias("n")).collect()}
+    known = sources.agg(F.count(F.lit(1)).alias("n"), F.sum("target").alias("t")).first()
+    shards = max(1, math.ceil((known.t or 0) / shard_words))
+    runs = shard_runs(spark, [quotas.get(i, 0) for i in range(known.n)], shards, seed)
+    runs = runs.select("shard", "src", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("count") - 1)).alias("rank"))
+    where = units.join(runs, ["src", "rank"]).select("src", "block", "copy", "shard")
+    rows = taken(docs, small, drawn).where("times > 0 and size > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return rows.join(where, ["src", "block", "copy"])
+
+
+def mix_report(df: DataFrame, seed: int = 7, shard_words: int = SHARD_WORDS, **options) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target, taken. ``taken`` counts the copies that the tree dealt to shards.
 
     Null text has size 0; null sources are one source, last in order. Repeated rows and null ids each keep their row. Sources without
     words have target 0. An empty table gives no rows. The same input gives the same mix, whatever the partitions.
     """
-    docs, _ = plan_mix(df, seed, **options)
-    docs = written(docs, "mix")
-    return taken(docs, docs, draws(docs)).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).cast("long").alias("taken"))
+    docs, sources = plan_mix(df, seed, **options)
+    docs = written(docs.withColumn("row_no", F.monotonically_increasing_id()), "mix")  # rows of equal id and text stay apart
+    copies = dealt(docs, docs, draws(docs), sources, seed, shard_words).groupBy("row_no").agg(F.count(F.lit(1)).alias("copies"))
+    return docs.join(copies, "row_no", "left").select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.coalesce("copies", F.lit(0))).cast("long").alias("taken"))
 
 
 def mix(df: DataFrame, seed: int = 7, shard_words: int = SHARD_WORDS, **options) -> DataFrame:
@@ -153,24 +174,9 @@ def mix(df: DataFrame, seed: int = 7, shard_words: int = SHARD_WORDS, **options)
 
     Input columns of those names are replaced. Documents without words are not taken.
     """
-    spark = df.sparkSession
     docs, sources = plan_mix(df, seed, carry=True, **options)
     small = written(docs.drop("row"), "mix")
-    drawn = draws(small)
-    units = drawn
-    copies = F.col("times") + F.col("part").isNotNull().cast("int")
-    units = units.where(copies > 0).select("src", "block", "place", F.explode(F.sequence(F.lit(1), copies)).alias("copy"))
-    # A unit is one draw of a block; its rank in the source's permuted order: first copies first.
-    rank = F.row_number().over(Window.partitionBy("src").orderBy("copy", "place")) - 1
-    units = units.withColumn("rank", rank)
-    quotas = {r.src: r.n for r in units.groupBy("src").agg(F.count(F.lit(1)).alias("n")).collect()}
-    known = sources.agg(F.count(F.lit(1)).alias("n"), F.sum("target").alias("t")).first()
-    shards = max(1, math.ceil((known.t or 0) / shard_words))
-    runs = shard_runs(spark, [quotas.get(i, 0) for i in range(known.n)], shards, seed)
-    runs = runs.select("shard", "src", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("count") - 1)).alias("rank"))
-    dealt = units.join(runs, ["src", "rank"]).select("src", "block", "copy", "shard")
-    rows = taken(docs, small, drawn).where("times > 0 and size > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
-    rows = rows.join(dealt, ["src", "block", "copy"])
+    rows = dealt(docs, small, draws(small), sources, seed, shard_words)
     place = F.row_number().over(Window.partitionBy("shard").orderBy(F.xxhash64("h", "copy", "shard"), "doc_id", "copy")) - 1
     rows = rows.select("row", F.col("copy").alias("mix_copy"), F.col("shard").alias("mix_shard"), place.alias("mix_place"))
     keep = [F.col(f"row.`{c}`").alias(c) for c in df.columns if c.lower() not in ("mix_copy", "mix_shard", "mix_place")]
