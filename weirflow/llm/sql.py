@@ -41,4 +41,32 @@ OP4 = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coale
  r AS (SELECT a AS doc_id, a AS seen FROM links UNION SELECT r.doc_id, l.b FROM r JOIN links l ON r.seen = l.a)
  SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.m, w.doc_id) AS component_id FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN (SELECT doc_id, MIN(seen) AS m FROM r GROUP BY doc_id) c ON w.doc_id = c.doc_id"""
 
-ORACLES: dict[str, str] = {"op1_chat_format": OP1, "op3_decontaminate": OP3, "op4_jaccard_join": OP4}
+# Leaf and tampered leaf of every document, levels until one node is left in each language, the same over the subroots, then proofs and
+# the root folded from each leaf. crc32 is spelled out byte by byte.
+_CELL = "CASE WHEN {0} IS NULL THEN '-' ELSE concat(strlen(CAST({0} AS VARCHAR)), ':', CAST({0} AS VARCHAR)) END"
+_HEAD = ", ".join(_CELL.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+_CAPITALS_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_CRC = """xor(list_reduce(list_concat([4294967295], list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i: CAST(ascii(CAST(doc_id AS VARCHAR)[i]) AS BIGINT))),
+ lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+OP12 = f"""WITH RECURSIVE base AS (SELECT doc_id, lang, sha256(concat({_HEAD}, {_CELL.format('text')})) AS leaf,
+  CASE WHEN {_CRC} % 3 = 0 THEN sha256(concat({_HEAD}, {_CELL.format(_CAPITALS_LOWERED)})) END AS other FROM documents),
+ leaves AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id, leaf) - 1 AS pos, COUNT(*) OVER (PARTITION BY lang) AS n FROM base),
+ tree AS (SELECT lang, 0 AS lvl, pos, leaf AS h, n FROM leaves
+  UNION ALL SELECT lang, lvl + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (MAX(n) + 7) // 8 FROM tree WHERE n > 1 GROUP BY lang, lvl, pos // 8),
+ subroots AS (SELECT lang, lvl, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, COUNT(*) OVER () AS m FROM tree WHERE n = 1),
+ top AS (SELECT 0 AS lvl, place, subroot AS h, m FROM subroots
+  UNION ALL SELECT lvl + 1, place // 8, sha256(string_agg(h, '' ORDER BY place)), (MAX(m) + 7) // 8 FROM top WHERE m > 1 GROUP BY lvl, place // 8),
+ around AS (SELECT a.lang, a.lvl, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS l, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS r
+  FROM tree a JOIN tree b ON a.lang IS NOT DISTINCT FROM b.lang AND a.lvl = b.lvl AND a.pos // 8 = b.pos // 8 WHERE a.n > 1 GROUP BY 1, 2, 3),
+ above AS (SELECT a.lvl, a.place, coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (WHERE b.place < a.place), '') AS l, coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (WHERE b.place > a.place), '') AS r
+  FROM top a JOIN top b ON a.lvl = b.lvl AND a.place // 8 = b.place // 8 WHERE a.m > 1 GROUP BY 1, 2),
+ steps AS (SELECT f.lang, f.pos, d.lvl, d.l, d.r FROM leaves f JOIN around d ON f.lang IS NOT DISTINCT FROM d.lang AND d.pos = f.pos >> (3 * d.lvl)
+  UNION ALL SELECT f.lang, f.pos, s.lvl + t.lvl, t.l, t.r FROM leaves f JOIN subroots s ON f.lang IS NOT DISTINCT FROM s.lang JOIN above t ON t.place = s.place >> (3 * t.lvl)),
+ proofs AS (SELECT lang, pos, string_agg(concat(l, r), '' ORDER BY lvl) AS proof, COUNT(*) AS height FROM steps GROUP BY 1, 2),
+ fold AS (SELECT lang, pos, 0 AS lvl, coalesce(other, leaf) AS h FROM leaves
+  UNION ALL SELECT f.lang, f.pos, f.lvl + 1, sha256(concat(s.l, f.h, s.r)) FROM fold f JOIN steps s ON f.lang IS NOT DISTINCT FROM s.lang AND f.pos = s.pos AND f.lvl = s.lvl)
+SELECT f.doc_id, f.leaf, s.subroot, t.h AS root, sha256(coalesce(p.proof, '')) AS proof_sha256, d.h AS folded_root, d.h = t.h AS verified
+ FROM leaves f JOIN subroots s ON f.lang IS NOT DISTINCT FROM s.lang JOIN top t ON t.m = 1 LEFT JOIN proofs p ON f.lang IS NOT DISTINCT FROM p.lang AND f.pos = p.pos
+ JOIN fold d ON f.lang IS NOT DISTINCT FROM d.lang AND f.pos = d.pos AND d.lvl = coalesce(p.height, 0)"""
+
+ORACLES: dict[str, str] = {"op1_chat_format": OP1, "op3_decontaminate": OP3, "op4_jaccard_join": OP4, "op12_merkle_manifest": OP12}
