@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from weirflow.llm import chat, ctw, decontaminate, html, jaccard, licenses, merkle, mixing, pii, quality, substrings
+from weirflow.llm import alignment, chat, ctw, decontaminate, html, jaccard, licenses, merkle, mixing, pii, quality, substrings
 from weirflow.llm.common import written
 from weirflow.llm.sql import ORACLES  # noqa: F401
 from weirflow.session import prepare
@@ -80,6 +80,11 @@ def op10_license_scan(spark, sf_dir):
     return licenses.scan(files, renamed=written(first, "folders"))
 
 
+def op11_tokenizer_alignment(spark, sf_dir):
+    """Groups and links between the tokens of two tokenizers in every document, with corpus-wide counts of their id pairs."""
+    return alignment.report(_table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark, sf_dir):
     """The manifest of all documents, every proof, and the root of every tampered version."""
     return merkle.audit(_table(spark, sf_dir, "documents"))
@@ -92,5 +97,5 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_chat_format, op2_ctw_score, op3_decontaminate, op4_jaccard_join, op5_pii, op6_mix, op7_quality, op8_substring_dedup, op9_html_text, op10_license_scan,
-    op12_merkle_manifest, pipeline,
+    op11_tokenizer_alignment, op12_merkle_manifest, pipeline,
 )}
