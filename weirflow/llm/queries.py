@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from weirflow.llm import alignment, chat, ctw, decontaminate, html, jaccard, licenses, merkle, mixing, pii, quality, substrings
+from weirflow.llm import alignment, chat, ctw, decontaminate, html, jaccard, licenses, merkle, minhash, mixing, pii, quality, substrings
 from weirflow.llm.common import written
 from weirflow.llm.sql import ORACLES  # noqa: F401
 from weirflow.session import prepare
@@ -90,6 +90,11 @@ def op12_merkle_manifest(spark, sf_dir):
     return merkle.audit(_table(spark, sf_dir, "documents"))
 
 
+def op13_minhash_dedup(spark, sf_dir):
+    """Components of documents whose bottom-k sketches and then whose shingle sets agree."""
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     """The stages of corpus_pipeline.py over all documents."""
     return corpus_pipeline.run(prepare(spark), sf_dir)
@@ -97,5 +102,5 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_chat_format, op2_ctw_score, op3_decontaminate, op4_jaccard_join, op5_pii, op6_mix, op7_quality, op8_substring_dedup, op9_html_text, op10_license_scan,
-    op11_tokenizer_alignment, op12_merkle_manifest, pipeline,
+    op11_tokenizer_alignment, op12_merkle_manifest, op13_minhash_dedup, pipeline,
 )}

@@ -41,6 +41,12 @@ OP4 = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coale
  r AS (SELECT a AS doc_id, a AS seen FROM links UNION SELECT r.doc_id, l.b FROM r JOIN links l ON r.seen = l.a)
  SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.m, w.doc_id) AS component_id FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN (SELECT doc_id, MIN(seen) AS m FROM r GROUP BY doc_id) c ON w.doc_id = c.doc_id"""
 
+_SETS = (("ws[i : i + 4]", "ws[i : i + 3]"), ("len(ws) - 3, 2", "len(ws) - 2, 2"), (">= 75 *", ">= 80 *"))
+OP13 = OP4
+for _old, _new in _SETS:
+    OP13 = OP13.replace(_old, _new)
+OP13 = f"SELECT *, component_id = doc_id AS kept FROM ({OP13})"
+
 # Leaf and tampered leaf of every document, levels until one node is left in each language, the same over the subroots, then proofs and
 # the root folded from each leaf. crc32 is spelled out byte by byte.
 _CELL = "CASE WHEN {0} IS NULL THEN '-' ELSE concat(strlen(CAST({0} AS VARCHAR)), ':', CAST({0} AS VARCHAR)) END"
@@ -69,4 +75,4 @@ SELECT f.doc_id, f.leaf, s.subroot, t.h AS root, sha256(coalesce(p.proof, '')) A
  FROM leaves f JOIN subroots s ON f.lang IS NOT DISTINCT FROM s.lang JOIN top t ON t.m = 1 LEFT JOIN proofs p ON f.lang IS NOT DISTINCT FROM p.lang AND f.pos = p.pos
  JOIN fold d ON f.lang IS NOT DISTINCT FROM d.lang AND f.pos = d.pos AND d.lvl = coalesce(p.height, 0)"""
 
-ORACLES: dict[str, str] = {"op1_chat_format": OP1, "op3_decontaminate": OP3, "op4_jaccard_join": OP4, "op12_merkle_manifest": OP12}
+ORACLES: dict[str, str] = {"op1_chat_format": OP1, "op3_decontaminate": OP3, "op4_jaccard_join": OP4, "op12_merkle_manifest": OP12, "op13_minhash_dedup": OP13}
