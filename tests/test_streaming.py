@@ -75,7 +75,7 @@ def test_retracting_is_refused(spark, tmp_path):
 def test_sessions_equal_batch(spark, tmp_path):
     rows = [(i, "u", at(m), 1.0) for i, m in enumerate([0, 10, 45, 76, 77, 200])]
     stream = write_batches(spark, str(tmp_path), [rows, [(99, "u", at(1000), 1.0)]])
-    out = sinks.drain_to_files(jobs.session_stream(stream.withWatermark("ts", "10 minutes"), "k", "ts", "k", ["u"]), "s")
+    out = sinks.drain_to_files(jobs.session_stream(stream.withWatermark("ts", "10 minutes"), "k", "ts", "k"), "s")
     got = sorted((r.session_start, r.last_event, r.total_events) for r in out.collect())
     assert got == [(at(0), at(10), 2), (at(45), at(45), 1), (at(76), at(77), 2), (at(200), at(200), 1)]
 
@@ -123,3 +123,62 @@ def test_table_sink_fan_out_and_alerts(spark, tmp_path):
     alert = spark.createDataFrame([("X", "l", "c", 1.0, 500, "HIGH", "r")], "alert_type string, loan_id string, customer_id string, amount double, credit_score int, risk_category string, region string")
     assert json.loads(sinks.alert_messages(alert).first().value)["loan_id"] == "l"
     assert sinks.audit_rows(alert, F.lit("2024-01-01").cast("timestamp")).first().status == "OPEN"
+
+
+def test_session_types_include_all_and_join_across_batches(spark, tmp_path):
+    kinds = lambda rows: [(i, k, at(m), 1.0) for i, k, m in rows]
+    stream = write_batches(spark, str(tmp_path), [
+        kinds([(1, "view", 0), (2, "odd \"type\"", 5), (3, "buy", 50)]), kinds([(4, "view", 100)]), kinds([(5, "buy", 27)]),  # late: joins the first two sessions
+        kinds([(6, None, 130)]), [(99, "z", at(9000), 1.0)]])
+    rows = stream.withColumn("u", F.lit("u")).withWatermark("ts", "1 day")
+    got = sorted((r.session_start, r.last_event, r.total_events, json.loads(r.event_types), r.most_common_event) for r in sinks.drain_to_files(jobs.session_stream(rows, "u", "ts", "k"), "s").collect())
+    assert got == [(at(0), at(50), 4, {"buy": 2, 'odd "type"': 1, "view": 1}, "buy"), (at(100), at(130), 2, {"unknown": 1, "view": 1}, "unknown")]
+
+
+def test_clock_panes_equal_a_replayed_list(spark, tmp_path):
+    """Rows (minute, arrival in seconds): early panes after 60 s, the end at 3,600 + 30 s, late panes after 300 s, up to an hour late."""
+    came = [(1, 10), (2, 40), (3, 71), (4, 3_000), (5, 3_629), (6, 3_630), (7, 3_900), (8, 3_931), (9, 7_100), (10, 7_229), (11, 7_230), (12, 9_000)]
+    want = [("early", 2), ("early", 3), ("early", 4), ("on_time", 5), ("late", 7), ("late", 8), ("late", 10)]
+    jobs.use_rocksdb(spark)
+    second = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    for parts in (1, 3, 12):  # the panes do not depend on the micro-batches
+        size = len(came) // parts
+        rows = [(i, str(second(s)), at(m), 1.0) for i, (m, s) in enumerate(came)]
+        batches = [rows[i : i + size] for i in range(0, len(rows), size)]
+        stream = write_batches(spark, str(tmp_path / str(parts)), batches + [[(99, str(second(99_999)), at(90_000), 0.0)]])
+        rows = stream.withColumns({"arrived": F.col("k").cast("timestamp"), "k": F.lit("a")})
+        out = sinks.drain_to_files(panes.clock_panes(rows, "k", "ts", "arrived", "v", skew_seconds=30, lateness_seconds=3600), "clock")
+        assert [(r.pane, r.n) for r in out.orderBy("window_start", "pane_no").collect() if r.window_start == at(0)] == want
+
+
+def test_rows_too_late_for_their_window_are_dropped_in_any_arrow_batch(spark, tmp_path):
+    jobs.use_rocksdb(spark)
+    late = [(i, "a", at(5), 1.0) for i in range(3)] + [(9, "a", at(200), 1.0)]
+    for size in ("1", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        stream = write_batches(spark, str(tmp_path / size), [[(1, "a", at(1), 1.0)], [(2, "a", at(190), 1.0)], late, [(3, "z", at(900), 1.0)]])
+        out = sinks.drain_to_files(panes.window_panes(stream, "k", "ts", "v"), "drop")
+        assert [(r.pane, r.n) for r in out.orderBy("window_start", "pane_no").collect()] == [("on_time", 1), ("on_time", 2)]
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_fraud_in_one_pass(spark, tmp_path):
+    from weirflow.streaming import fraud
+
+    jobs.use_rocksdb(spark)
+    row = lambda i, k, m, v: (i, k, at(m), v)
+    first = [row(1, "a", 0, 10.0), row(2, "a", 5, 40.0), row(3, "a", 6, None)]
+    second = [row(4, "b", 400, 20.0), row(5, "a", 3, 11.0), row(6, None, 401, 5.0)]  # 5 is late, but its bucket has not been judged
+    stream = write_batches(spark, str(tmp_path), [first, second, [row(9, None, 99_999, 0.0)]]).withColumn("u", F.when(F.col("id") < 9, 1))
+    out = sinks.drain_to_files(fraud.fraud_stream(stream, "id", "u", "ts", "k", "v", late_after="10 hours"), "fraud")
+    assert sorted((r.event_id, r.rules) for r in out.collect()) == [(1, "velocity,new_type"), (2, "velocity,amount"), (3, "velocity"), (4, "new_type"), (5, "velocity"), (6, "new_type")]
+
+
+def test_metrics_merge_once_after_a_repeated_batch(spark, tmp_path):
+    outputs = jobs.loan_outputs(F.lit("LOW"), 1e9)
+    loans = lambda rows: spark.createDataFrame([(at(m), "r", "t", a, s) for m, a, s in rows], "ts timestamp, region string, loan_type string, amount double, credit_score int")
+    folder = str(tmp_path / "metrics")
+    for number, rows in ((0, [(1, 10.0, 500), (2, 20.0, None)]), (1, [(3, 5.0, 700), (7, 1.0, 600)]), (1, [(3, 5.0, 700), (7, 1.0, 600)])):
+        sinks.write_batch(outputs["metrics"](loans(rows)), number, folder)
+    got = [tuple(r)[4:] for r in jobs.merged_metrics(spark.read.parquet(folder)).orderBy("window_start").collect()]
+    assert got == [(3, 35.0, 600.0, 1), (1, 1.0, 600.0, 0)]

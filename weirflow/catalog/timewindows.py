@@ -52,10 +52,10 @@ def sensor_stream(df):
         F.col("event_type").alias("location"), F.col("value").alias("temperature"), (F.col("value") / 2).alias("humidity"))
 
 
-@query("sliding_sensor", f"""SELECT window_start, window_end, concat('S', user_id) AS sensor_id, concat('D', arg_min(event_id, ts) % 3) AS device_id, arg_min(event_type, ts) AS location, {eavg('value')} AS avg_temperature, {eavg('(value / 2)')} AS avg_humidity,
+@query("sliding_sensor", f"""SELECT window_start, window_end, concat('S', user_id) AS sensor_id, concat('D', arg_min(event_id, (ts, event_id)) % 3) AS device_id, arg_min(event_type, (ts, event_id)) AS location, {eavg('value')} AS avg_temperature, {eavg('(value / 2)')} AS avg_humidity,
  {r2('MAX(value)')} AS max_temperature, {r2('MIN(value)')} AS min_temperature, COUNT(*) AS reading_count FROM {sliding_source(10, 5)} GROUP BY 1, 2, user_id""")
 def sliding_sensor(t):
-    return ntz(timewindows.sensor_by_window(sensor_stream(events_utc(t)), "ts", "sensor_id", "device_id", "location", "temperature", "humidity"), *BOUNDS)
+    return ntz(timewindows.sensor_by_window(sensor_stream(events_utc(t)), "ts", "sensor_id", "device_id", "location", "temperature", "humidity", row_id="event_id"), *BOUNDS)
 
 
 GAP_SQL = """g AS (SELECT *, lag(ts) OVER (PARTITION BY u ORDER BY ts, event_id) AS p FROM src),

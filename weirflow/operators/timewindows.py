@@ -52,11 +52,13 @@ def sales_range_by_window(df: DataFrame, ts: str, region: str, amount: str, leng
 
 def sensor_by_window(
     df: DataFrame, ts: str, sensor: str, device: str, location: str, temperature: str, humidity: str,
-    length: str = "10 minutes", slide: str = "5 minutes",
+    length: str = "10 minutes", slide: str = "5 minutes", row_id: str | None = None,
 ) -> DataFrame:
-    """Sliding means and extremes per sensor; device and location are those of its first reading."""
+    """Sliding means and extremes per sensor; device and location are those of its first reading, the one of the smallest ``row_id``
+    among equal times."""
+    first = F.struct(ts, row_id) if row_id else F.col(ts)
     grouped = df.groupBy(F.window(ts, length, slide), F.col(sensor).alias("sensor_id")).agg(
-        F.min_by(device, ts).alias("device_id"), F.min_by(location, ts).alias("location"),
+        F.min_by(device, first).alias("device_id"), F.min_by(location, first).alias("location"),
         exact_avg(temperature).alias("avg_temperature"), exact_avg(humidity).alias("avg_humidity"),
         rounded(F.max(temperature)).alias("max_temperature"), rounded(F.min(temperature)).alias("min_temperature"),
         F.count(F.lit(1)).alias("reading_count"),
