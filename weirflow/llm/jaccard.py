@@ -6,7 +6,8 @@ gives one signature: band, part and the hash of what the set has there. Two sets
 at most, so with more than k parts one part is equal. Signatures that only one set has cannot join anything; of the others a set
 needs only its rarest k+1, counting the unique ones (any pair within the bound shares one of these).
 Sets with a common signature are linked through the member with most in common, pairs are verified exactly, and what stays
-apart inside a signature's group is compared once more, so no link is lost while a large group never lists all its pairs.
+apart inside a signature's group is compared once more inside the task that holds it, so no link is lost while a large group never
+lists its pairs.
 """
 
 from __future__ import annotations
@@ -21,12 +22,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weirflow.llm.common import documents, from_planes, mix64, planes, slices, small_batches, text_bytes, written
+from weirflow.llm.linking import components, linked
 
 WIDTH = 5
 NEED, OF = 3, 4  # Jaccard similarity of at least 3/4
 RANGE_BYTES = 12 << 20  # of text for one signature range
-CLASSES = 256
-BLOCK = 2_000  # members of a signature group compared with each other in one task
 FLUSH = 1 << 20  # signatures gathered in a task before they are sent
 
 
@@ -176,40 +176,9 @@ def _sets(df: DataFrame) -> DataFrame:
     def run(batches):
         cache = WordHashes()
         for ids, texts in slices(batches):
-            sets = shingle_sets(texts, cache)
-            sketches = [np.minimum(np.bincount((s & np.uint64(CLASSES - 1)).astype(np.int64), minlength=CLASSES), 255).astype(np.uint8).tobytes() for s in sets]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(sketches, pa.binary())], ["doc_id", "set", "sketch"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([s.tobytes() for s in shingle_sets(texts, cache)], pa.binary())], ["doc_id", "set"])
 
-    return df.mapInArrow(run, "doc_id long, set binary, sketch binary")
-
-
-def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The (a, b) pairs whose sets are similar enough, compared shingle by shingle."""
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("y")), "b")
-
-    def run(batches):
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                keep.append(len(x) > 0 and OF * both >= NEED * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """(doc_id, label): for every vertex of the (a, b) edges the smallest one it is joined to. Contracts edges to local minima."""
-    edges = written(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-    labels = written(edges.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().withColumn("label", F.col("doc_id")), "labels")
-    while not edges.isEmpty():
-        around = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        to = written(around.groupBy("a").agg(F.least(F.first("a"), F.min("b")).alias("to")), "to")
-        labels = written(labels.join(to.select(F.col("a").alias("label"), "to"), "label", "left").select("doc_id", F.coalesce("to", "label").alias("label")), "labels")
-        moved = edges.join(to.withColumnRenamed("to", "x"), "a").select("x", "b").join(to.select(F.col("a").alias("b"), F.col("to").alias("y")), "b")
-        edges = written(moved.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
-    return labels
+    return df.mapInArrow(run, "doc_id long, set binary")
 
 
 def _links(met: DataFrame, about: DataFrame, docs: DataFrame) -> DataFrame:
@@ -228,64 +197,7 @@ def _links(met: DataFrame, about: DataFrame, docs: DataFrame) -> DataFrame:
     count = F.count(F.lit(1)).over(Window.partitionBy("rep", "band"))
     rows = rows.withColumns({"place": F.row_number().over(own), "all": count}).where(F.col("place") <= F.col("all") - spare)
     rows = written(rows.select("sig", "rep", "n"), "prefix")
-    size = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("freq")).where("freq > 1")
-    rows = rows.join(size, "sig")
-    weight = rows.groupBy("rep").agg(F.sum("freq").alias("weight"))
-    rows = written(rows.join(weight, "rep"), "weighted")
-    centre = rows.groupBy("sig").agg(F.max(F.struct("weight", (-F.col("rep")).alias("r"), "n")).alias("c")).select("sig", (-F.col("c.r")).alias("centre"), F.col("c.n").alias("centre_n"))
-    close = lambda x, y: (OF * F.least(x, y) >= NEED * F.greatest(x, y))
-    star = rows.join(centre, "sig").where((F.col("rep") != F.col("centre")) & close(F.col("n"), F.col("centre_n"))).select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-    wanted = rows.select(F.col("rep").alias("doc_id")).distinct()
-    sets = written(_sets(docs.join(wanted, "doc_id")), "sets")
-    links = written(_similar(star, sets), "links")
-    label = components(links)
-    placed = _apart(rows.select("sig", "rep", "n"), label)
-    return links.unionByName(_similar(_close_pairs(placed, sets), sets))
-
-
-def _close_pairs(placed: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): pairs of one signature group in different components that their sketches do not rule out.
-
-    A sketch counts a set's shingles in 256 classes; the differences of two sketches are a lower bound of the differing shingles. Pairs
-    are looked at inside tasks and only those left are put out. A large group is cut into blocks that meet two by two.
-    """
-    size = placed.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    members = placed.join(size, "sig").join(sets.select(F.col("doc_id").alias("rep"), "sketch"), "rep")
-    members = members.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    members = members.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).select("sig", "i", "j", "own", "rep", "n", "label", "sketch")
-    groups = max(1, placed.count() // 20_000)
-    keyed = members.withColumn("g", F.pmod(F.xxhash64("sig", "i", "j"), F.lit(groups)))
-
-    def look(table):
-        cols = {c: table[c].to_numpy() for c in ("sig", "i", "j", "own", "rep", "n", "label")}
-        order = np.lexsort((cols["j"], cols["i"], cols["sig"]))
-        cols = {c: v[order] for c, v in cols.items()}
-        sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, CLASSES)[order]
-        cuts = np.flatnonzero(np.concatenate(([True], np.logical_or.reduce([cols[c][1:] != cols[c][:-1] for c in ("sig", "i", "j")]), [True])))
-        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for lo, hi in zip(cuts[:-1], cuts[1:]):
-            rep, n, label, own = (cols[c][lo:hi] for c in ("rep", "n", "label", "own"))
-            block, apart = sketch[lo:hi].astype(np.int16), cols["i"][lo] != cols["j"][lo]
-            for x in range(hi - lo - 1):
-                may = (label[x + 1 :] != label[x]) & (OF * np.minimum(n[x], n[x + 1 :]) >= NEED * np.maximum(n[x], n[x + 1 :]))
-                if apart:
-                    may &= own[x + 1 :] != own[x]
-                y = np.flatnonzero(may) + x + 1
-                if len(y):
-                    y = y[(OF + NEED) * np.abs(block[y] - block[x]).sum(1, dtype=np.int64) <= (OF - NEED) * (n[y] + n[x])]
-                    left.append(np.minimum(rep[y], rep[x]))
-                    right.append(np.maximum(rep[y], rep[x]))
-        pairs = np.unique(np.stack([np.concatenate(left), np.concatenate(right)]), axis=1)
-        return pa.table({"a": pairs[0], "b": pairs[1]})
-
-    return keyed.groupBy("g").applyInArrow(look, "a long, b long").distinct()
-
-
-def _apart(rows: DataFrame, label: DataFrame) -> DataFrame:
-    """The members of signature groups whose members are not all in one component yet, with their ``label``."""
-    placed = rows.join(label.withColumnRenamed("doc_id", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    open_ = placed.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("sig")
-    return written(placed.join(open_, "sig"), "apart")
+    return linked(rows, lambda ids: _sets(docs.join(ids, "doc_id")), NEED, OF)
 
 
 def near_duplicates(df: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
@@ -315,7 +227,21 @@ def _joined(df: DataFrame, range_bytes: int) -> tuple[DataFrame, DataFrame]:
 
 
 def keep_one(df: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """The input rows without those whose document has a similar one with a smaller id. Rows with a null id stay."""
-    _, label = _joined(df, range_bytes)
-    later = label.where("label <> doc_id").select(F.col("doc_id").alias("_later"))
-    return df.join(later, df["doc_id"] == later["_later"], "left_anti")
+    """One row of each group of similar documents: that with the smallest id.
+
+    Rows without id are told apart by their text and stand behind all ids, so copies among them, or of a document with an id, go as well.
+    Rows with one id are one document: of those with the same text one stays, different texts of an id that is kept all stay.
+    Documents without words are similar to nothing.
+    """
+    text = F.coalesce(df["text"].cast("string"), F.lit(""))
+    key = F.coalesce(df["doc_id"].cast("long"), F.xxhash64(text).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62)))
+    about, label = _joined(df.select(key.alias("doc_id"), text.alias("text")), range_bytes)
+    many = about.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id", F.lit(True).alias("many"))
+    told = label.select("doc_id", (F.col("label") != F.col("doc_id")).alias("later")).join(many, "doc_id", "full_outer")
+    told = written(told.where("later or many").select(F.col("doc_id").alias("_key"), F.coalesce("later", F.lit(False)).alias("_later")), "told")
+    kept = df.join(told, key == told["_key"], "left").where("_later is null or not _later")
+    if told.where("not _later").isEmpty():
+        return kept.select(*(df[c] for c in df.columns))
+    one = Window.partitionBy("_key", F.xxhash64(text)).orderBy(F.xxhash64(*(df[c] for c in df.columns)))
+    again = kept.where("_key is not null").withColumn("_place", F.row_number().over(one)).where("_place = 1")
+    return kept.where("_key is null").select(*(df[c] for c in df.columns)).unionByName(again.select(*(df[c] for c in df.columns)))
