@@ -1,16 +1,16 @@
 """MERGE as joins: each function returns the new content of the target.
 
-Parquet tables have no MERGE, so a caller writes the result to a new place or over the affected
-partitions (``sources.tables``). That write is not atomic with readers of the old files. The source must
-have one row per key (``require_unique_keys``, or ``plans.dedup.latest_per_key`` first); then no join here
-has a hot key, because both sides are unique.
+Parquet tables have no MERGE, so a caller writes the result to a new place, over the affected partitions (``sources.tables``), or as a
+new version in which only the buckets of the delta are read and rewritten (``sources.versions``). The source must have one row per key
+(``plans.dedup.latest_per_key`` makes it so); ``checked`` adds that check to the plan, and a repeated key fails the query instead of
+multiplying rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 OPEN_END = "9999-12-31"
@@ -23,8 +23,18 @@ def require_unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df
 
 
+def checked(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of a merge source; a key that occurs twice raises when the query runs. The window shuffles by the key that the merge
+    joins on, so nothing is shuffled twice."""
+    again = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1))) > 1
+    message = F.concat(F.lit(f"more than one source row per key {list(keys)}: "), F.to_json(F.struct(*keys)))
+    ok = df.withColumn("__again", F.when(again, F.raise_error(message)).otherwise(F.lit(True)))
+    return ok.filter("__again").drop("__again")
+
+
 def _sides(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full outer join with the rows of both sides as structs ``t`` and ``s``."""
+    source = checked(source, keys)
     left = target.select(*keys, F.struct(*target.columns).alias("t"))
     right = source.select(*keys, F.struct(*source.columns).alias("s"))
     return left.join(right, list(keys), "full_outer")
