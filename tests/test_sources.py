@@ -150,3 +150,49 @@ def test_dead_letter(spark, tmp_path):
     tables.dead_letter(bad, F.lit("2024-01-01").cast("timestamp"), str(tmp_path / "dl"))
     row = spark.read.parquet(str(tmp_path / "dl")).first()
     assert (row.record, row.errors) == ('{"id":1}', '["a","b"]')
+
+
+def test_co_located_tables_join_without_exchange(spark):
+    from weirflow.sources import tables
+
+    big = spark.range(4000).selectExpr("case when id % 3 = 0 then 7 else id % 500 end as k", "id as x")  # a third of the rows on one key
+    small = spark.range(400).selectExpr("id as k", "id * 10 as y").unionByName(spark.createDataFrame([(7, -1)], "k long, y long"))
+    tables.write_co_located(big, small, "k", "co_big", "co_small", buckets=8, salts=4)
+    for how in ("inner", "left"):
+        joined = tables.join_co_located(spark, "co_big", "co_small", "k", how)
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, joined.collect())) == sorted(map(str, big.join(small, "k", how).select("k", "x", "y").collect()))
+    hot = spark.table("co_big").filter("k = 7").groupBy(tables.SALT).count().collect()
+    assert len(hot) == 4 and max(r["count"] for r in hot) < 500
+
+
+def test_destroyed_keys_cannot_be_made_again(spark, tmp_path):
+    from weirflow.operators import governance as gov
+
+    people = spark.createDataFrame([(i, f"name {i}") for i in range(20)], "id long, name string")
+    vault = gov.KeyVault(spark, str(tmp_path / "keys"), "id", buckets=4)
+    vault.ensure(people)
+    drawn = {r.id: bytes(r.secret) for r in vault.keys().collect()}
+    vault.ensure(people)
+    assert {r.id: bytes(r.secret) for r in vault.keys().collect()} == drawn and len(set(drawn.values())) == 20
+    sealed = spark.createDataFrame(gov.encrypt_with_keys(people, vault.keys(), "id", ["name"]).collect())
+    vault.destroy(people.filter("id % 2 = 0"))
+    files = spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "keys" / "data"))
+    assert {r.id for r in files.select("id").collect()} == set(range(1, 20, 2))  # not even in older versions
+    vault.ensure(people)
+    back = {r.id: r.name for r in gov.decrypt_with_keys(sealed, vault.keys(), "id", ["name"]).collect()}
+    assert back == {i: f"name {i}" if i % 2 else None for i in range(20)}
+
+
+def test_outbox_sends_each_message_once(spark, tmp_path):
+    from weirflow.streaming import sinks
+
+    folder, sent, topic = (str(tmp_path / x) for x in ("outbox", "sent", "topic"))
+    alerts = lambda ids: spark.createDataFrame([(i, "LARGE") for i in ids], "loan_id long, alert_type string")
+    calls = []
+    send = lambda df, n: calls.append(n) or sinks.to_topic_folder(topic)(df, n)
+    for number, ids in ((0, [1, 2, 2]), (0, [1, 2, 2]), (1, [2, 3]), (1, [2, 3])):
+        sinks.outbox_batch(alerts(ids), number, folder)
+        sinks.relay_outbox(spark, folder, sent, send)
+    assert calls == [0, 1]
+    assert sorted(r.value for r in spark.read.json(topic).select("value").collect()) == [f'{{"loan_id":{i},"alert_type":"LARGE"}}' for i in (1, 2, 3)]

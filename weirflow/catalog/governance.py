@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from weirflow.catalog.standins import r2
@@ -11,6 +13,7 @@ from weirflow.operators import governance as gov
 from weirflow.operators import learning, skew
 from weirflow.plans.spread import spread
 from weirflow.registry import query
+from weirflow.session import cut_lineage, shared_dir
 
 
 def _pii_sql() -> str:
@@ -51,10 +54,13 @@ def column_policy(t):
 
 @query("crypto_shred", "SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_name END AS c_name FROM customer")
 def crypto_shred(t):
-    """Encrypt names, destroy every fifth key, read back what is left."""
-    keys = t.customer.select("c_custkey", F.substring(F.sha2(F.col("c_custkey").cast("string").cast("binary"), 256), 1, 32).alias("secret"))
-    sealed = gov.encrypt_with_keys(t.customer.select("c_custkey", "c_name"), keys, "c_custkey", ["c_name"])
-    return gov.decrypt_with_keys(sealed, keys.filter("c_custkey % 5 <> 0"), "c_custkey", ["c_name"])
+    """Encrypt names with random keys, destroy every fifth key, read back what is left. Owners that get a new key cannot read old values."""
+    vault = gov.KeyVault(t.spark, f"{shared_dir(t.spark)}/keys-{uuid.uuid4().hex}", "c_custkey")
+    vault.ensure(t.customer)
+    sealed = cut_lineage(gov.encrypt_with_keys(t.customer.select("c_custkey", "c_name"), vault.keys(), "c_custkey", ["c_name"]))
+    vault.destroy(t.customer.filter("c_custkey % 5 = 0"))
+    vault.ensure(t.customer.filter("c_custkey % 10 = 0"))
+    return gov.decrypt_with_keys(sealed, vault.keys(), "c_custkey", ["c_name"])
 
 
 @query("access_audit", "SELECT event_id, user_id, event_type, ts FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-20' - INTERVAL 7 DAY AND TIMESTAMP '2024-01-20' ORDER BY ts DESC")

@@ -348,3 +348,14 @@ def full_outer_recon(t):
     return left.join(right, "o_orderkey", "full_outer").select("o_orderkey", side.alias("side"))
 
 
+@query("co_located_join", "SELECT l_orderkey, l_linenumber, l_extendedprice, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
+def co_located_join(t):
+    """Two tables bucketed alike on the order key; the join shuffles nothing."""
+    import uuid
+
+    from weirflow.sources import tables
+
+    big, small = (f"{x}_{uuid.uuid4().hex}" for x in ("wf_lines", "wf_orders"))
+    lines = t.lineitem.select(F.col("l_orderkey").alias("k"), "l_linenumber", "l_extendedprice")
+    tables.write_co_located(lines, t.orders.select(F.col("o_orderkey").alias("k"), "o_custkey"), "k", big, small, buckets=16)
+    return tables.join_co_located(t.spark, big, small, "k").withColumnRenamed("k", "l_orderkey")

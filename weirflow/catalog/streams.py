@@ -249,6 +249,22 @@ def stream_fan_out(t):
             .unionByName(total(read("metrics"), "metrics", F.sum("n"), F.col("s"))))
 
 
+@query("alert_outbox", f"""WITH l AS (SELECT event_id, value AS amount, {scales.sql_case('(300 + (event_id * 7) % 551)', RISK_5, '>=')} AS risk FROM events)
+ SELECT event_id, amount, 1 AS sent FROM l WHERE risk = 'VERY_HIGH' OR amount > 400""")
+def alert_outbox(t):
+    """Alerts of a stream that delivers every event twice, through an outbox to a topic; the relay runs again and sends nothing more."""
+    def each(batch, number, base):
+        alerts = timewindows.high_risk_alerts(batch.withColumn("risk_category", scales.at_least("credit_score", RISK_5)), "risk_category", "amount", 400)
+        for _ in range(2):  # the batch is run again
+            sinks.outbox_batch(alerts, number, f"{base}/outbox")
+            sinks.relay_outbox(t.spark, f"{base}/outbox", f"{base}/sent", sinks.to_topic_folder(f"{base}/topic"))
+
+    base = sinks.drain_batches(loan_stream(feed(t, "alerts", closing=False, copies=2)), "alerts", each, mode="append")
+    topic = t.spark.read.schema(sinks.MESSAGE).json(f"{base}/topic")
+    value = F.from_json("value", "event_id long, amount double")
+    return topic.select(value.alias("m")).groupBy("m.event_id", "m.amount").agg(F.count(F.lit(1)).cast("int").alias("sent"))
+
+
 @query("stream_loan_metrics", f"""SELECT {tumbling(5)}, concat('r', user_id % 4) AS region, event_type AS loan_type, COUNT(*) AS application_count, {dsum('value')} AS total_amount, {r2('CAST(SUM(300 + (event_id * 7) % 551) AS DOUBLE) / COUNT(*)', 1)} AS avg_credit_score,
  COUNT(*) FILTER (WHERE 300 + (event_id * 7) % 551 < 550) AS high_risk_count FROM events GROUP BY 1, 2, 3, 4""")
 def stream_loan_metrics(t):

@@ -52,6 +52,42 @@ def column_policy(df: DataFrame, tags: Mapping[str, str], cleared: Sequence[str]
     return out
 
 
+class KeyVault:
+    """A stored table of one random key per owner. Keys are drawn once, from the system's random source, and cannot be made again: a key
+    that is destroyed takes all values sealed with it along, in whatever copies they stand."""
+
+    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 16):
+        from weirflow.sources.versions import VersionedTable
+
+        self.table, self.key, self.buckets = VersionedTable(spark, path), key, buckets
+
+    def ensure(self, owners: DataFrame) -> None:
+        """Draw keys for the owners that have none. What a failed or repeated task drew is not in the table, so a key is drawn once."""
+        wanted = owners.select(self.key).where(F.col(self.key).isNotNull()).distinct()
+        drawn = wanted.mapInArrow(_draw, f"{self.key} {owners.schema[self.key].dataType.simpleString()}, secret binary")
+        if not self.table._versions():
+            self.table.create(drawn.limit(0), [self.key], self.buckets)
+        self.table.change(wanted, lambda part, new: part.unionByName(new.join(part, self.key, "left_anti").mapInArrow(_draw, drawn.schema)))
+
+    def destroy(self, owners: DataFrame) -> None:
+        """Remove the owners' keys from the newest version and delete all others. No other writer may be at work."""
+        gone = owners.select(self.key).where(F.col(self.key).isNotNull()).distinct()
+        self.table.change(gone, lambda part, delta: part.join(delta, self.key, "left_anti"))
+        self.table.forget()
+
+    def keys(self) -> DataFrame:
+        return self.table.read()
+
+
+def _draw(batches):
+    import secrets
+
+    import pyarrow as pa
+
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([secrets.token_bytes(32) for _ in range(len(batch))], pa.binary())], [batch.schema.names[0], "secret"])
+
+
 def encrypt_with_keys(df: DataFrame, keys: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Encrypt columns with the key of their owner; destroying a key makes its rows unreadable."""
     joined = df.join(keys.select(key, "secret"), key, "left")

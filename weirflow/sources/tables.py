@@ -29,7 +29,7 @@ def ensure_table(spark: SparkSession, table: str, schema: T.StructType, partitio
         (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
 
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite", spread: int = 1) -> None:
+def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite", spread: int = 8) -> None:
     """Hive-style folders with few files each.
 
     Rows are shuffled by the partition columns; ``spread`` puts a partition in up to that many tasks, so
@@ -57,6 +57,33 @@ def write_bucketed(df: DataFrame, table: str, buckets: int, key: str) -> None:
     df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
 
 
+SALT = "wf_salt"
+
+
+def write_co_located(big: DataFrame, small: DataFrame, key: str, big_table: str, small_table: str, *, buckets: int = 64, share: float = 0.01, salts: int = 16) -> None:
+    """Two tables laid out alike for joins on a key: same buckets, sorted, so that the join needs no shuffle.
+
+    A key with more than ``share`` of the big table's rows would fill one bucket. Its rows are dealt over ``salts`` values of a second
+    bucket column, and the small table holds its rows once for each of them. Join with ``join_co_located``.
+    """
+    from weirflow.plans.joins import hot_keys
+
+    hot = hot_keys(big, key, share).select(F.col(key).alias("__hot"))  # at most 1 / share keys
+    salt = F.when(F.col("__hot").isNotNull(), F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    dealt = big.join(F.broadcast(hot), F.col(key) == F.col("__hot"), "left").withColumn(SALT, salt).drop("__hot")
+    each = F.when(F.col("__hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = small.join(F.broadcast(hot), F.col(key) == F.col("__hot"), "left").withColumn(SALT, F.explode(each)).drop("__hot")
+    for rows, table in ((dealt, big_table), (repeated, small_table)):
+        rows.repartition(buckets, key, SALT).write.mode("overwrite").bucketBy(buckets, key, SALT).sortBy(key, SALT).saveAsTable(table)
+
+
+def join_co_located(spark: SparkSession, big_table: str, small_table: str, key: str, how: str = "inner") -> DataFrame:
+    """Each row of the big table with its rows of the small one; inner or left."""
+    if how not in ("inner", "left"):
+        raise ValueError("the big side is kept: inner or left")
+    return spark.table(big_table).join(spark.table(small_table).hint("merge"), [key, SALT], how).drop(SALT)
+
+
 def range_bucket(column: str, width: int) -> Column:
     """Lower end of the integer range a value falls in; usable as a partition column."""
     return (F.floor(F.col(column) / width) * width).cast("bigint")

@@ -142,6 +142,22 @@ class VersionedTable:
         self._publish(made)
         return made
 
+    def forget(self) -> int:
+        """Delete all versions but the newest, with every folder that it does not name; returns how many folders went. Not while another
+        writer is at work: its folders are not named yet."""
+        now = self.manifest()
+        gone = [s.getPath() for s in self._fs.globStatus(self._path(f"{self.path}/data/wf_place=*")) or []]
+        gone = [f for f in gone if f.getName().split("=")[1] not in now.held.values()]
+        for version in self._versions()[:-1]:
+            self._fs.delete(self._path(f"{self.path}/_manifests/{version}.json"), False)
+        for place in set(now.held.values()):  # a folder still in use may hold buckets that were rewritten elsewhere
+            for s in self._fs.globStatus(self._path(f"{self.path}/data/wf_place={place}/wf_bucket=*")) or []:
+                if now.held.get(int(s.getPath().getName().split("=")[1])) != place:
+                    gone.append(s.getPath())
+        for folder in gone:
+            self._fs.delete(folder, True)
+        return len(gone)
+
     # -- loads -------------------------------------------------------------------------------------------------------------------------
 
     def load(self, name: str, rows: DataFrame, merge: Merge) -> dict:

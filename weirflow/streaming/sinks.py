@@ -93,6 +93,46 @@ def alert_messages(alerts: DataFrame) -> DataFrame:
     return alerts.select(F.to_json(F.struct(*alerts.columns)).alias("value"))
 
 
+MESSAGE = "message_id string, value string"
+
+
+def outbox_batch(alerts: DataFrame, number: int, folder: str, *, look_back: int = 100) -> None:
+    """The alerts of a micro-batch as messages that wait to be sent. A message's id is the hash of its content, so a batch that is run
+    again writes the same messages in the same place; those of the last ``look_back`` batches are not written twice."""
+    from weirflow.sources.files import exists
+
+    value = F.to_json(F.struct(*alerts.columns))
+    rows = alerts.select(F.sha2(value.cast("binary"), 256).alias("message_id"), value.alias("value")).dropDuplicates(["message_id"])
+    if exists(alerts.sparkSession, folder):
+        before = alerts.sparkSession.read.schema(f"{MESSAGE}, batch_id long").parquet(folder)
+        rows = rows.join(before.filter((F.col("batch_id") < number) & (F.col("batch_id") >= number - look_back)), "message_id", "left_anti")
+    write_batch(rows, number, folder)
+
+
+def relay_outbox(spark: SparkSession, folder: str, sent: str, send: Callable[[DataFrame, int], None]) -> list[int]:
+    """Hand every batch that waits to ``send``, oldest first, and mark it; returns the batches sent. A batch that is marked is not sent
+    again. One that was sent but not marked goes out again with the same ids: ``send`` replaces (``to_topic_folder``), or consumers drop
+    by id."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    numbers = lambda where: {int(s.getPath().getName().split("=")[1]) for s in fs.globStatus(path(f"{where}/batch_id=*")) or []}
+    waiting = sorted(numbers(folder) - numbers(sent))
+    for number in waiting:
+        send(spark.read.schema(MESSAGE).parquet(f"{folder}/batch_id={number}"), number)
+        fs.create(path(f"{sent}/batch_id={number}"), True).close()
+    return waiting
+
+
+def to_topic_folder(folder: str) -> Callable[[DataFrame, int], None]:
+    """A topic of files: one folder of JSON lines per batch, replaced when the batch is sent again."""
+    return lambda messages, number: messages.write.mode("overwrite").json(f"{folder}/batch_id={number}")
+
+
+def to_kafka(servers: str, topic: str) -> Callable[[DataFrame, int], None]:
+    """A Kafka topic, with the message id as key."""
+    return lambda messages, number: messages.select(F.col("message_id").alias("key"), "value").write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+
+
 def audit_rows(alerts: DataFrame, at) -> DataFrame:
     """Alerts in the columns of the audit table."""
     return alerts.select(
