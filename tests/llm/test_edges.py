@@ -287,3 +287,28 @@ def test_licenses_renamed(spark):
     assert got == sorted(map(tuple, licenses.scan(direct).collect())) and len(got) == 4
     assert {r[0]: (r[1], r[3]) for r in got} == {"a/LICENSE": ("Proprietary", "own"), "a/2": ("Proprietary", "inherited"), "a/b/3": ("Proprietary", "inherited"), "c/5": ("MIT", "own")}
     assert sorted(map(tuple, licenses.scan(files, renamed=renamed.limit(0)).collect())) == sorted(map(tuple, licenses.scan(files).collect()))
+
+
+def test_executors_need_no_package(tmp_path):
+    """Started from another folder, Python workers cannot import the package: everything travels by value."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[2]
+    script = f"""
+import sys
+sys.path.insert(0, {str(root)!r})
+from weirflow.llm import alignment, ctw, decontaminate, merkle, minhash
+from weirflow.session import build_session
+spark = build_session("away", "local[2]", **{{"spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false"}})
+docs = spark.createDataFrame([(i, "some words of a text " * 5, "en", "s", 3) for i in range(20)], "doc_id long, text string, lang string, source string, n_chars long")
+items = spark.createDataFrame([(None, "words of a text"), (1, "no such words")], "item_id long, text string")
+assert ctw.score(docs).count() == 20
+assert [tuple(r) for r in decontaminate.find_leaks(docs, items).select("n_hit", "n_items", "contaminated").distinct().collect()] == [(20, 0, True)]
+assert alignment.report(docs).count() == merkle.audit(docs).count() == minhash.near_duplicates(docs).count() == 20
+print("done")
+"""
+    env = {k: v for k, v in __import__("os").environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert run.stdout.strip().endswith("done"), run.stderr[-3000:]

@@ -239,17 +239,22 @@ class Top:
         _, self.stay0 = mixed(log_kt(z0, o0), weighted.sum(0))
         self.kt0 = (o0 + 0.5) / (z0 + o0 + 1)
 
-    def finish(self, codes: np.ndarray, p: np.ndarray) -> np.ndarray:
-        """log10 probability of each n-gram's byte, from the deeper mixtures per bit."""
-        x = (codes & np.uint64(255)).astype(np.int64)
-        c = ((codes >> np.uint64(8)) & np.uint64(255)).astype(np.int64)
-        total = np.zeros(len(codes))
-        for k in range(8):
-            u, bit = (1 << k) | (x >> (8 - k)), (x >> (7 - k)) & 1
-            for stay, kt in ((self.stay1[c, u], self.kt1[c, u]), (self.stay0[u], self.kt0[u])):
-                p[k] = stay * np.where(bit == 1, kt, 1 - kt) + (1 - stay) * p[k]
-            total += np.log10(p[k])
-        return total
+    def tables(self) -> tuple[np.ndarray, ...]:
+        return self.stay1, self.kt1, self.stay0, self.kt0
+
+
+def finish(top: tuple[np.ndarray, ...], codes: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """log10 probability of each n-gram's byte, from the deeper mixtures per bit."""
+    stay1, kt1, stay0, kt0 = top
+    x = (codes & np.uint64(255)).astype(np.int64)
+    c = ((codes >> np.uint64(8)) & np.uint64(255)).astype(np.int64)
+    total = np.zeros(len(codes))
+    for k in range(8):
+        u, bit = (1 << k) | (x >> (8 - k)), (x >> (7 - k)) & 1
+        for stay, kt in ((stay1[c, u], kt1[c, u]), (stay0[u], kt0[u])):
+            p[k] = stay * np.where(bit == 1, kt, 1 - kt) + (1 - stay) * p[k]
+        total += np.log10(p[k])
+    return total
 
 
 def _subtree_of(frame: pd.DataFrame, depth: int) -> tuple[np.ndarray, Subtree]:
@@ -273,11 +278,12 @@ def train(totals: DataFrame, depth: int) -> DataFrame:
     rows = grams.groupBy("g").applyInPandas(up, "c long, node long, zeros double, ones double, weighted double")
     rows = rows.groupBy("c", "node").agg(*(F.sum(x).alias(x) for x in ("zeros", "ones", "weighted")))
     top = Top(rows.collect())  # at most 256 x 255 rows
-    shared = totals.sparkSession.sparkContext.broadcast(top)
+    # Plain arrays: what is broadcast is pickled by reference, and executors do not have this package.
+    shared = totals.sparkSession.sparkContext.broadcast(top.tables())
 
     def down(frame: pd.DataFrame) -> pd.DataFrame:
         codes, tree = _subtree_of(frame, depth)
-        return pd.DataFrame({"r": frame["r"], "code": frame["code"], "logp": shared.value.finish(codes, tree.predict())})
+        return pd.DataFrame({"r": frame["r"], "code": frame["code"], "logp": finish(shared.value, codes, tree.predict())})
 
     return grams.groupBy("g").applyInPandas(down, "r long, code long, logp double")
 

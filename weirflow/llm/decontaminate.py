@@ -52,15 +52,15 @@ def _rolling(ids: np.ndarray, length: int) -> np.ndarray:
     return h
 
 
-def scan(windows: Windows, hashes: dict[int, np.ndarray], docs: list[list[bytes]]) -> tuple[list[np.ndarray], list[set]]:
+def scan(words: dict[bytes, int], by_length: dict[int, dict], hashes: dict[int, np.ndarray], docs: list[list[bytes]]) -> tuple[list[np.ndarray], list[set]]:
     """For each word list: which words are hit, and the items whose windows occur."""
     counts = np.array([len(d) for d in docs])
-    ids = np.fromiter((windows.words.get(w, -1) for d in docs for w in d), np.int64, int(counts.sum()))
+    ids = np.fromiter((words.get(w, -1) for d in docs for w in d), np.int64, int(counts.sum()))
     ends = np.cumsum(counts)
     owner = np.repeat(np.arange(len(docs)), counts)
     hit, items = np.zeros(len(ids), bool), [set() for _ in docs]
     unknown = np.concatenate(([0], np.cumsum(ids < 0)))
-    for length, known in windows.by_length.items():
+    for length, known in by_length.items():
         if len(ids) < length:
             continue
         at = np.arange(len(ids) - length + 1)
@@ -77,7 +77,7 @@ def scan(windows: Windows, hashes: dict[int, np.ndarray], docs: list[list[bytes]
 
 def _blocks(benchmark: DataFrame, size: int, block_bytes: int) -> Iterator[Windows]:
     """Benchmark blocks of bounded text size, one at a time in the driver. A single larger item is a block of its own."""
-    items = benchmark.select(benchmark["item_id"].alias("item"), F.coalesce(benchmark["text"].cast("string"), F.lit("")).alias("text")).where("item is not null")
+    items = benchmark.select(benchmark["item_id"].alias("item"), F.coalesce(benchmark["text"].cast("string"), F.lit("")).alias("text"))
     block, used = Windows(), 0
     for row in items.toLocalIterator():
         data = row.text.encode()
@@ -95,22 +95,23 @@ _ROW = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("_hit", pa.bin
 def _pass(spark, docs: DataFrame, windows: Windows, last: bool) -> DataFrame:
     """One block against all documents: adds to the hit bits and items; the last block leaves the text away."""
     hashes = {n: np.unique(_rolling(np.array(list(known), np.int64).reshape(-1), n)[::n]) for n, known in windows.by_length.items()}
-    shared = spark.sparkContext.broadcast((windows, hashes))
+    # Plain objects: what is broadcast is pickled by reference, and executors do not have this package.
+    shared = spark.sparkContext.broadcast((windows.words, windows.by_length, hashes))
 
     def run(batches):
-        windows, hashes = shared.value
+        words, by_length, hashes = shared.value
         for batch in batches:
             rows = pa.Table.from_batches([batch])
             done = 0
             for ids, texts in slices(iter([batch.select(["doc_id", "text"])])):
                 old = rows.slice(done, len(ids))
                 done += len(ids)
-                hit, items = scan(windows, hashes, [normalised_words(t) for t in texts])
+                hit, items = scan(words, by_length, hashes, [normalised_words(t) for t in texts])
                 if "_hit" in old.column_names:
                     hit = [h | np.unpackbits(np.frombuffer(b, np.uint8), count=len(h)).astype(bool) for h, b in zip(hit, old.column("_hit").to_pylist())]
-                    items = [s | set(b) for s, b in zip(({str(x) for x in s} for s in items), old.column("_items").to_pylist())]
+                    items = [s | set(b) for s, b in zip(({str(x) for x in s if x is not None} for s in items), old.column("_items").to_pylist())]
                 if last:
-                    names = [sorted(str(x) for x in s) for s in items]
+                    names = [sorted(str(x) for x in s if x is not None) for s in items]
                     out = {
                         "doc_id": ids, "n_words": [len(h) for h in hit], "n_hit": [int(h.sum()) for h in hit], "n_items": [len(x) for x in names],
                         "item_ids": names, "items_sha256": [hashlib.sha256(",".join(x).encode()).hexdigest() for x in names],
@@ -119,7 +120,7 @@ def _pass(spark, docs: DataFrame, windows: Windows, last: bool) -> DataFrame:
                     table = pa.table({k: pa.array(v, _TYPES[k]) for k, v in out.items()})
                 else:
                     table = pa.table([pa.array(ids, pa.int64()), pa.array([t.decode() for t in texts]), pa.array([np.packbits(h).tobytes() for h in hit], pa.binary()),
-                                      pa.array([sorted(str(x) for x in s) for s in items], pa.list_(pa.string()))], schema=_ROW)
+                                      pa.array([sorted(str(x) for x in s if x is not None) for s in items], pa.list_(pa.string()))], schema=_ROW)
                 for name in rows.column_names:
                     if name == "row":
                         table = table.append_column("row", old.column("row"))
@@ -137,7 +138,7 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_
     """One row per document: doc_id, n_words, n_hit, n_items, item_ids, items_sha256, hit_words, contaminated.
 
     A window is ``window`` consecutive words of an item; a shorter item with words is one window. Null and empty texts have no words;
-    items without words or without id match nothing. Equal windows of several items count for each. Repeated rows and null ids each
+    items without words match nothing; the windows of items without id hit words, but such items are not listed. Equal windows of several items count for each. Repeated rows and null ids each
     keep their row; repeated item ids count once. Empty tables give no rows, or rows without hits.
     """
     spark = df.sparkSession

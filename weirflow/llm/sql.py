@@ -29,7 +29,7 @@ OP3 = f"""WITH d AS (SELECT doc_id, {_WORDS.format('text')} AS ws FROM documents
  p AS (SELECT doc_id, size, i, array_to_string(ws[i : i + size - 1], ' ') AS w FROM (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM d, (SELECT DISTINCT size FROM g))),
  h AS (SELECT doc_id, i, p.size, item_id FROM p JOIN g ON p.size = g.size AND p.w = g.w),
  n AS (SELECT doc_id, COUNT(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS k FROM h) GROUP BY doc_id),
- s AS (SELECT doc_id, COUNT(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY doc_id)
+ s AS (SELECT doc_id, COUNT(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h WHERE item_id IS NOT NULL) GROUP BY doc_id)
  SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
  FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN s ON d.doc_id = s.doc_id"""
 
