@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,9 +15,11 @@ from weirflow.functions import keys, scales, text
 from weirflow.functions.fixed import RISK_4, RISK_5, RISK_NAMED, SIZE_3, SIZE_4, VALUE_TIERS
 from weirflow.functions.numbers import rounded
 from weirflow.operators import clean, enrich, parse, validate
-from weirflow.plans.dedup import latest_per_key
+from weirflow.plans.dedup import latest_per_key, top_per_key
 from weirflow.plans.spread import spread
 from weirflow.registry import Tables, query
+from weirflow.session import shared_dir
+from weirflow.sources import tables
 
 PROPS = T.StructType([T.StructField("k", T.LongType())])
 BROKEN_SQL = "CASE WHEN event_id % 11 = 0 THEN substr(props, 1, length(props) - 1) ELSE props END"
@@ -397,3 +401,22 @@ def loan_etl(t):
  array_to_string(errors, '; ') AS errors FROM judged WHERE len(errors) > 0""")
 def loan_dead_letter(t):
     return loan_etl_parts(t)[1].withColumn("errors", F.concat_ws("; ", "errors"))
+
+
+def loan_run(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Curated loans, dead letters and superseded rows, all from one cleaning of the text."""
+    judged = validate.with_errors(clean.clean_loans(raw_loans(t)), validate.loan_rules(AS_OF))
+    good, bad = tables.split_once(judged, F.size("errors") == 0, f"{shared_dir(t.spark)}/loans-{uuid.uuid4().hex}")
+    ranked = top_per_key(good.drop("errors"), ["loan_id"], ["-application_date", "-amount", "customer_id", "status"], 1)
+    return enrich.loan_classes(enrich.loan_economics(ranked)), bad, good
+
+
+@query("loan_run", f"""WITH {RAW_LOANS_SQL}, {CLEAN_LOANS_SQL}, judged AS (SELECT *, {RULES_SQL} AS errors FROM cleaned),
+ latest AS (SELECT *, row_number() OVER (PARTITION BY loan_id ORDER BY application_date DESC, amount DESC, customer_id, status) AS rn FROM judged WHERE len(errors) = 0)
+ SELECT 'curated' AS output, COUNT(*) AS rows, CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS amount FROM latest WHERE rn = 1 UNION ALL SELECT 'accepted', COUNT(*), CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) FROM latest
+ UNION ALL SELECT 'dead_letter', COUNT(*), CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) FROM judged WHERE len(errors) > 0""")
+def loan_run_totals(t):
+    """One run with all its outputs: the text is cleaned and judged once."""
+    curated, bad, good = loan_run(t)
+    total = lambda name, df: df.agg(F.lit(name).alias("output"), F.count(F.lit(1)).alias("rows"), F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("amount"))
+    return total("curated", curated).unionByName(total("accepted", good)).unionByName(total("dead_letter", bad))

@@ -260,3 +260,15 @@ def weekly_compliance(t):
         F.count("*").alias("runs"), pct(F.count_if(F.col("n") <= 70), F.count("*")).alias("compliance_pct"))
 
 
+@query("stale_success", f"""SELECT event_type, MAX(ts) FILTER (WHERE value > 100 AND event_type <> 'view') AS last_success, COUNT(*) AS runs, CAST(date_sub('second', MAX(ts) FILTER (WHERE value > 100 AND event_type <> 'view'), TIMESTAMP '{NOW}') AS BIGINT) AS age_seconds,
+ coalesce(date_sub('second', MAX(ts) FILTER (WHERE value > 100 AND event_type <> 'view'), TIMESTAMP '{NOW}') > 2 * 14400, true) AS is_stale FROM events GROUP BY 1""")
+def stale_success(t):
+    """Event types as jobs that run every four hours: stale when the last success is more than two intervals ago, or there was none."""
+    return q.stale_jobs(t.events, "event_type", "ts", (F.col("value") > 100) & (F.col("event_type") != "view"), _now(), 14_400)
+
+
+@query("result_age", f"""SELECT event_type, MAX(time_bucket(INTERVAL 60 MINUTE, ts) + INTERVAL 60 MINUTE) AS latest_data, CAST(date_sub('minute', MAX(time_bucket(INTERVAL 60 MINUTE, ts) + INTERVAL 60 MINUTE), TIMESTAMP '{NOW}') AS BIGINT) AS age_minutes FROM events GROUP BY 1""")
+def result_age(t):
+    """How far the newest hourly result of each type lies behind the clock."""
+    hourly = t.events.select("event_type", (F.date_trunc("hour", "ts") + F.expr("interval 1 hour")).cast("timestamp_ntz").alias("window_end"))
+    return q.result_age(hourly, "window_end", _now(), ["event_type"])

@@ -179,3 +179,16 @@ def duration_alerts(runs: DataFrame, job: str, day: str, duration: str, factor:
     """Per job: the latest run against the mean of the runs before it."""
     seen = frame_window(runs, [job], [day], {"__avg": lambda w: F.avg(duration).over(w.rowsBetween(-rows, -1))}, before=rows)
     return latest_per_key(seen, [job], [f"-{day}"]).select(job, day, F.col(duration).alias("latest"), rounded("__avg").alias("rolling_avg"), (F.col(duration) > factor * F.col("__avg")).alias("is_slow"))
+
+
+def stale_jobs(runs: DataFrame, job: str, at: str, succeeded: Column, now: Column, interval_seconds: int, intervals: int = 2) -> DataFrame:
+    """Per job: its last success, and whether that is more than so many intervals ago; a job without any success is stale."""
+    last = runs.groupBy(job).agg(F.max(F.when(succeeded, F.col(at))).alias("last_success"), F.count(F.lit(1)).alias("runs"))
+    age = F.timestamp_diff("SECOND", F.col("last_success"), now)
+    return last.withColumns({"age_seconds": age, "is_stale": F.coalesce(age > intervals * interval_seconds, F.lit(True))})
+
+
+def result_age(results: DataFrame, window_end: str, now: Column, keys: Sequence[str] = ()) -> DataFrame:
+    """How old the newest result is, in whole minutes, over all or per key."""
+    newest = results.groupBy(*keys).agg(F.max(window_end).alias("latest_data"))
+    return newest.withColumn("age_minutes", F.timestamp_diff("MINUTE", F.col("latest_data"), now))

@@ -255,6 +255,15 @@ def materialize(df: DataFrame, name: str, how: str) -> DataFrame:
     raise ValueError(f"unknown materialization {how}")
 
 
+def split_once(judged: DataFrame, ok: Column, path: str) -> tuple[DataFrame, DataFrame]:
+    """Good and bad rows of one run: the judged rows are written once, and each side reads its own folder. What judges is so evaluated
+    once, however many outputs follow, and a lost executor costs files and not the run."""
+    spark = judged.sparkSession
+    judged.withColumn("wf_ok", ok).write.mode("overwrite").partitionBy("wf_ok").parquet(path)
+    rows = spark.read.schema(T.StructType([*judged.schema.fields, T.StructField("wf_ok", T.BooleanType())])).parquet(path)
+    return rows.filter("wf_ok").drop("wf_ok"), rows.filter("not wf_ok").drop("wf_ok")
+
+
 def dead_letter(bad: DataFrame, run_ts: Column, path: str, mode: str = "append") -> None:
     """Rejected rows as JSON text with their errors and the time."""
     data = [c for c in bad.columns if c != "errors"]
