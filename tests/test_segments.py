@@ -114,3 +114,37 @@ def test_ntile(skewed):
         ntile_of(F.row_number().over(w), F.count("*").over(Window.partitionBy("k")), 7).alias("got"),
     ).collect()
     assert all(r.want == r.got for r in rows)
+
+
+@pytest.fixture(scope="module")
+def crowded(spark):
+    """One key holds most rows, one day most of its rows, and one text half of those."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(1500):
+        key = "hot" if i % 5 else rng.choice("abc")
+        day = 7 if i % 4 else rng.choice([None, *range(30)])
+        text = "same start, another end " + str(i % 3) if i % 2 else rng.choice([None, "", "b", "bb", "é", "z"])
+        rows.append((i, key, day, text, rng.choice([1.5, -2.0, float("nan"), None]), bool(i % 2), rng.randrange(100)))
+    return spark.createDataFrame(rows, "id int, k string, day int, name string, d double, b boolean, v int").cache()
+
+
+@pytest.mark.parametrize("order", [["day", "id"], ["-day", "id"], ["day", "-id"], ["name", "id"], ["-name", "-id"], ["d", "name", "id"], ["-d", "-name", "id"], ["b", "day", "name", "id"]])
+def test_cuts_on_the_whole_order(crowded, order):
+    from weirflow.plans.segments import SEGMENT, with_segments
+
+    cuts = plan_cuts(crowded, order, 25, keys=["k"], hot_rows=150)
+    assert cuts.finer
+    sizes = [r["count"] for r in with_segments(crowded, order, cuts).filter("k = 'hot'").groupBy(SEGMENT).count().collect()]
+    # 1,200 rows of the key, 900 of them on one day; one text of 200 rows is equal in its first 24 bytes.
+    assert max(sizes) < 700 and len(sizes) >= 4
+    framed = {"p2": lambda w: F.lag("id", 2).over(w), "n1": lambda w: F.lead("v").over(w)}
+    for make in (lambda **kw: running_window(crowded, ["k"], order, RUNNING, **kw), lambda **kw: frame_window(crowded, ["k"], order, framed, before=2, after=1, **kw)):
+        assert sorted(map(repr, make(segments=1).collect())) == sorted(map(repr, make(cuts=cuts).collect()))
+
+
+def test_ranks_on_text_with_ties(crowded):
+    ranks = {"rk": ("rank", None), "dk": ("dense_rank", None)}
+    for order in (["name"], ["-name", "day"]):
+        plain, cut = running_window(crowded, ["k"], order, ranks, segments=1), running_window(crowded, ["k"], order, ranks, segments=9)
+        assert sorted(map(repr, plain.collect())) == sorted(map(repr, cut.collect()))

@@ -69,7 +69,7 @@ GAP_SQL = """g AS (SELECT *, lag(ts) OVER (PARTITION BY u ORDER BY ts, event_id)
 def session_summary(t):
     """Sessions with a 30 minute gap: bounds, ordered types (in parts of 10,000) and counts per type."""
     rows = t.events.select("event_id", "ts", "user_id", "event_type")
-    cuts = plan_cuts(rows, "ts", keys=["user_id"])
+    cuts = plan_cuts(rows, ["ts", "event_id"], keys=["user_id"])
     marked = sessions.mark_sessions(rows, "user_id", "ts", "event_id", sessions.gap_exceeds_seconds(1800), cuts=cuts)
     keys = ["user_id", "session_no"]
     main = marked.groupBy(*keys).agg(

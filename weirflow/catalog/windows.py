@@ -79,7 +79,7 @@ SESSION_SQL = """g AS (SELECT *, date_sub('minute', lag(ts) OVER (PARTITION BY u
 def clickstream_sessions(t, minutes: int):
     """Sessions with their page path; a session of up to 10,000 events is one row, longer ones have parts."""
     rows = t.events.select("user_id", "ts", "event_id", "event_type")
-    cuts = plan_cuts(rows, "ts", keys=["user_id"])
+    cuts = plan_cuts(rows, ["ts", "event_id"], keys=["user_id"])
     marked = sessions.mark_sessions(rows, "user_id", "ts", "event_id", sessions.gap_exceeds_minutes(minutes), "session_id", cuts)
     from weirflow.plans.lists import ordered_lists
 
@@ -206,7 +206,7 @@ def rank_family(t):
     from weirflow.plans.quantiles import ntile_of
 
     rows = _orders(t).withColumn("m", money("amount"))
-    order, keys, cuts = ["order_date", "o_orderkey"], ["o_custkey"], plan_cuts(rows, "order_date", keys=["o_custkey"])
+    order, keys, cuts = ["order_date", "o_orderkey"], ["o_custkey"], plan_cuts(rows, ["order_date", "o_orderkey"], keys=["o_custkey"])
     framed = frame_window(rows, keys, order, {"previous_amount": lambda w: F.lag("amount").over(w), "next_amount": lambda w: F.lead("amount").over(w)}, before=1, after=1, cuts=cuts)
     numbered = running_window(framed, keys, order, {"rn": ("row_number", None), "s": ("sum", "m"), "n": ("total_count", None)}, cuts=cuts)
     ranked = running_window(numbered, keys, ["order_date"], {"rnk": ("rank", None), "dense_rnk": ("dense_rank", None)}, cuts=cuts)

@@ -29,7 +29,7 @@ def mark_sessions(
 ) -> DataFrame:
     """Number the sessions of each key from 1; a row starts one when it has no predecessor or the gap splits."""
     order = [ts, row_id]
-    cuts = cuts if cuts is not None else plan_cuts(df, ts, keys=[key])
+    cuts = cuts if cuts is not None else plan_cuts(df, [ts, row_id], keys=[key])
     seen = frame_window(df, [key], order, {"__before": lambda w: F.lag(ts).over(w)}, before=1, cuts=cuts)
     starts = F.col("__before").isNull() | splits(F.col("__before"), F.col(ts))
     flagged = seen.withColumn("__new", F.when(starts, 1).otherwise(0))
@@ -48,7 +48,7 @@ def session_summary(
 
 def session_paths(df: DataFrame, key: str, ts: str, row_id: str, splits, item: str, out: str) -> DataFrame:
     """The items of each session in order, in parts of bounded length (see ``plans.lists``)."""
-    cuts = plan_cuts(df, ts, keys=[key])
+    cuts = plan_cuts(df, [ts, row_id], keys=[key])
     marked = mark_sessions(df, key, ts, row_id, splits, cuts=cuts)
     return ordered_lists(marked, [key, "session_no"], [ts, row_id], {out: [item]}, cuts=cuts)
 

@@ -37,7 +37,7 @@ def balance_with_floor(df: DataFrame, key: str, order: Sequence[str], amount: st
     With S the plain running sum, the balance is S minus the lowest S so far (zero included): two running
     functions in place of a row-by-row recursion.
     """
-    cuts = plan_cuts(df, order[0], keys=[key])
+    cuts = plan_cuts(df, order, keys=[key])
     summed = running_window(df, [key], order, {"__s": ("sum", amount)}, cuts=cuts)
     lowest = running_window(summed, [key], order, {"__m": ("min", "__s")}, cuts=cuts)
     return lowest.withColumn(out, F.col("__s") - F.least(F.col("__m"), F.lit(0))).drop("__s", "__m")

@@ -1,8 +1,9 @@
 """Ordered window functions that do not put a whole key into one task.
 
 ``Window.partitionBy(key)`` sends every row of a key to one task, so a key holding a third of the
-table stalls the job. Here hot keys are cut: their rows are split at quantiles of the leading order
-column, and the window runs over (key, segment). A group is then about as large as a normal partition,
+table stalls the job. Here hot keys are cut: their rows are split at quantiles of the order columns,
+and the window runs over (key, segment). Where one value of the leading column holds more than a
+segment (a key that is hot on one day), its rows are cut again by the next column, and so on. A group is then about as large as a normal partition,
 whatever the key. What a row needs from earlier segments is small and is handed over as *seed rows* that
 are unioned into the segment:
 
@@ -18,6 +19,8 @@ them, and they enter the plan as constants, so a retried task sees the same ones
 from __future__ import annotations
 
 import math
+import sys
+from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -31,7 +34,7 @@ SEED = "__seed"
 HOT = "__hot"
 SEGMENT_BYTES_CONF = "spark.weirflow.segment.bytes"
 DEFAULT_SEGMENT_BYTES = 64 << 20
-MAX_SEGMENTS = 10_000
+MAX_SEGMENTS = 200_000  # 12 TB of 64 MiB segments; beyond, segments grow
 
 RUNNING_KINDS = (
     "sum", "count", "min", "max", "row_number", "rank", "dense_rank", "total_sum", "total_count",
@@ -68,46 +71,86 @@ def segment_count(df: DataFrame) -> int:
     return 1 if size <= limit else min(MAX_SEGMENTS, max(2, math.ceil(size / limit)))
 
 
-def _as_number(df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.DateType):
-        return F.unix_date(F.col(name)).cast("double")
-    if isinstance(kind, T.TimestampNTZType):
-        return F.col(name).cast("timestamp").cast("double")
-    if isinstance(kind, (T.TimestampType, T.NumericType)):
-        return F.col(name).cast("double")
-    raise TypeError(f"the leading order column {name} must be a number, date or timestamp, not {kind}")
+TEXT_PARTS, PART_BYTES = 4, 6
+
+
+def _as_numbers(df: DataFrame, order: str | Sequence[str]) -> list[tuple[Column, bool, float]]:
+    """(number, descending, limit) for each order column: numbers that never fall where the column rises, nulls lowest, NaN highest.
+
+    Below the limit equal numbers are equal values, so the next column may cut inside them. Texts are cut by their first 24 bytes, six at
+    a time, and end the list.
+    """
+    out: list[tuple[Column, bool, float]] = []
+    for name, desc in order_terms([order] if isinstance(order, str) else order):
+        kind, value = df.schema[name].dataType, F.col(name)
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            part = lambda i: F.rpad(F.hex(F.substring(value.cast("binary"), i * PART_BYTES + 1, PART_BYTES)), 2 * PART_BYTES, "0")  # noqa: E731, B023
+            return out + [(_bounded(F.conv(part(i), 16, 10).cast("double")), desc, math.inf if i < TEXT_PARTS - 1 else 0.0) for i in range(TEXT_PARTS)]
+        if isinstance(kind, T.DateType):
+            number, limit = F.unix_date(value), 2.0**53
+        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            number, limit = value.cast("timestamp"), 2.0**32
+        elif isinstance(kind, T.BooleanType):
+            number, limit = value.cast("int"), 2.0**53
+        elif isinstance(kind, T.DecimalType):
+            number, limit = value, 2.0**53 / 10**kind.scale
+        elif isinstance(kind, T.NumericType):
+            number, limit = value, sys.float_info.max if isinstance(kind, (T.FloatType, T.DoubleType)) else 2.0**53
+        else:
+            raise TypeError(f"the order column {name} must be a number, date, timestamp, boolean or text, not {kind}")
+        out.append((_bounded(number.cast("double")), desc, limit))
+    return out
+
+
+def _bounded(number: Column) -> Column:
+    most = F.lit(sys.float_info.max)
+    return F.when(number.isNull(), F.lit(-math.inf)).otherwise(F.greatest(-most, F.least(number, most)))  # least takes NaN for the largest
 
 
 @dataclass(frozen=True)
 class Cuts:
-    """Where the leading order column is cut, as numbers, and for which keys.
+    """Where the order columns are cut, as numbers, and for which keys.
 
-    No values mean a plain window; no hot keys with values mean that every key is cut.
+    ``values`` cut the leading column. Each of ``finer`` has (the numbers of the columns before, cuts of the next column), for the values
+    that hold more than a segment; ``pieces`` is one more than its largest number of cuts. No values mean a plain window; no hot keys
+    with values mean that every key is cut.
     """
 
     values: tuple[float, ...] = ()
     keys: tuple[str, ...] = ()
     hot: DataFrame | None = None
+    finer: tuple[DataFrame, ...] = ()
+    pieces: tuple[int, ...] = ()
+
+
+def _repeated(values: Sequence[float]) -> dict[float, int]:
+    """The values that stand more than once among the quantiles: each holds so many segments' worth of rows."""
+    return {v: n for v, n in Counter(values).items() if n > 1}
+
+
+def _distinct(quantiles: Sequence[float]) -> list[float]:
+    """The cuts. A value that is cut again must be alone in its part: a cut follows right after it."""
+    after = {math.nextafter(v, math.inf) for v in _repeated(quantiles)}
+    return sorted(v for v in {*quantiles, *after} if math.isfinite(v))
 
 
 def plan_cuts(
-    df: DataFrame, lead: str, segments: int | None = None, *, keys: Sequence[str] = (), hot_rows: float | None = None
+    df: DataFrame, order: str | Sequence[str], segments: int | None = None, *, keys: Sequence[str] = (), hot_rows: float | None = None
 ) -> Cuts:
-    """Cuts for a frame: none when it is small or has no hot key.
+    """Cuts for a frame by its leading order column or columns: none when it is small or has no hot key.
 
     A key is hot when it has more rows than one of the segments the table would need, so there are fewer
     hot keys than segments. Counting rows per key and the quantiles of the hot rows cost a pass each over
-    the key and order columns; the driver gets the hot keys and one number per segment. Make the cuts once,
-    on the plain input, and hand them to every window of an operator. With ``segments`` given every key is
-    cut, unless ``hot_rows`` says from how many rows on.
+    the key and order columns, and one more for each further column that is needed; the driver gets the hot
+    keys and one number per segment. Make the cuts once, on the plain input, and hand them to every window of
+    an operator. With ``segments`` given every key is cut, unless ``hot_rows`` says from how many rows on.
     """
     limit = int(df.sparkSession.conf.get(SEGMENT_BYTES_CONF, str(DEFAULT_SEGMENT_BYTES)))
     every_key = not keys or (hot_rows is None and (segments is not None or limit <= 0))
     wanted = segments if segments is not None else segment_count(df)
     if wanted <= 1:
         return Cuts()
-    name = order_terms([lead])[0][0]
+    numbers = _as_numbers(df, order)
     source, hot = df, None
     if not every_key:
         rows = hot_rows if hot_rows is not None else df.count() / wanted
@@ -119,10 +162,29 @@ def plan_cuts(
         hot = df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in found], fields)
         source = _mark_hot(df, Cuts((), tuple(keys), hot)).filter(HOT)
         wanted = max(2, math.ceil(sum(r["__rows"] for r in found) / max(rows, 1)))
-    cuts = source.select(_as_number(df, name).alias("v")).approxQuantile(
-        "v", [i / wanted for i in range(1, wanted)], 1.0 / (4 * wanted)
-    )
-    return Cuts(tuple(sorted(set(cuts))), tuple(keys), hot)
+    source = source.select(*[number.alias(f"__n{i}") for i, (number, *_) in enumerate(numbers)])
+    quantiles = source.approxQuantile("__n0", [i / wanted for i in range(1, wanted)], 1.0 / (4 * wanted))
+    finer, pieces = _finer_cuts(source, {(v,): n for v, n in _repeated(quantiles).items()}, [limit for *_, limit in numbers])
+    return Cuts(tuple(_distinct(quantiles)), tuple(keys), hot, finer, pieces)
+
+
+def _finer_cuts(source: DataFrame, heavy: dict[tuple[float, ...], int], limits: list[float]) -> tuple[tuple[DataFrame, ...], tuple[int, ...]]:
+    """Cuts of the further columns inside values that hold several segments' worth of rows, one pass for each column."""
+    finer, pieces = [], []
+    for level in range(1, len(limits)):
+        heavy = {k: n for k, n in heavy.items() if k[-1] == -math.inf or abs(k[-1]) < limits[level - 1]}
+        if not heavy:
+            break
+        before = [f"__n{i}" for i in range(level)]
+        marks = source.sparkSession.createDataFrame(list(heavy), ", ".join(f"{b} double" for b in before))
+        parts = max(heavy.values()) + 1
+        shares = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+        inside = source.join(F.broadcast(marks), before).groupBy(*before).agg(F.percentile_approx(f"__n{level}", shares, 4 * parts).alias("q")).collect()
+        heavy = {(*(r[b] for b in before), v): n for r in inside for v, n in _repeated(r["q"]).items()}
+        cuts = [(*(r[b] for b in before), _distinct(r["q"])) for r in inside]
+        finer.append(source.sparkSession.createDataFrame(cuts, ", ".join([*(f"{b} double" for b in before), f"__cuts{level} array<double>"])))
+        pieces.append(max(len(c[-1]) for c in cuts) + 1)
+    return tuple(finer), tuple(pieces)
 
 
 def _mark_hot(df: DataFrame, cuts: Cuts) -> DataFrame:
@@ -136,27 +198,29 @@ def _mark_hot(df: DataFrame, cuts: Cuts) -> DataFrame:
     return joined.withColumn(HOT, F.coalesce("__is_hot", F.lit(False))).drop("__is_hot", *names.values())
 
 
-def with_segments(df: DataFrame, lead: str, cuts: Cuts) -> DataFrame:
+def with_segments(df: DataFrame, order: str | Sequence[str], cuts: Cuts) -> DataFrame:
     """Add the segment number, rising in the direction of the order; 0 for keys that are not hot."""
     from pyspark.ml.feature import Bucketizer
 
-    name, desc = order_terms([lead])[0]
-    marked = _mark_hot(df, cuts)
-    bucketed = Bucketizer(
-        splits=[-math.inf, *cuts.values, math.inf], inputCol="__lead", outputCol="__bucket", handleInvalid="keep",
-    ).transform(marked.withColumn("__lead", _as_number(df, name)))
-    bucket = F.col("__bucket").cast("int")
-    # NULL order values come first when ascending and last when descending.
-    if desc:
-        segment = F.when(F.col("__lead").isNull(), F.lit(1)).otherwise(-bucket)
-    else:
-        segment = F.when(F.col("__lead").isNull(), F.lit(-1)).otherwise(bucket)
-    return bucketed.withColumn(SEGMENT, F.when(F.col(HOT), segment).otherwise(0)).drop("__lead", "__bucket")
+    # A window over fewer columns than were cut keeps its equal rows together.
+    terms = _as_numbers(df, order)[: len(cuts.finer) + 1]
+    marked = _mark_hot(df, cuts).withColumns({f"__n{i}": number for i, (number, *_) in enumerate(terms)})
+    bucketed = Bucketizer(splits=[-math.inf, *cuts.values, math.inf], inputCol="__n0", outputCol="__bucket").transform(marked)
+    directed = lambda place, desc: -place if desc else place
+    segment = directed(F.col("__bucket").cast("long"), terms[0][1])
+    for level, (table, size) in enumerate(zip(cuts.finer[: len(terms) - 1], cuts.pieces), 1):
+        # Numbers of the values that are cut again, fewer than the segments.
+        bucketed = bucketed.join(F.broadcast(table), [f"__n{i}" for i in range(level)], "left")
+        number = F.col(f"__n{level}")
+        place = F.when(F.col(f"__cuts{level}").isNull(), 0).otherwise(F.size(F.filter(f"__cuts{level}", lambda c: c <= number)))
+        segment = segment * size + directed(place, terms[level][1])
+    segmented = bucketed.withColumn(SEGMENT, F.when(F.col(HOT), segment).otherwise(0))
+    return segmented.select(*df.columns, HOT, SEGMENT)
 
 
 def _cut(df, keys, order, segments, cuts):
-    cuts = cuts if cuts is not None else plan_cuts(df, order[0], segments, keys=keys)
-    return with_segments(df, order[0], cuts) if cuts.values else None
+    cuts = cuts if cuts is not None else plan_cuts(df, order, segments, keys=keys)
+    return with_segments(df, order, cuts) if cuts.values else None
 
 
 def running_window(
