@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from weirflow.llm.common import written
 
-BLOCK = 2_000  # members of one side of a comparison in one task
-BLOCK_VALUES = 1 << 20  # and values of their sets
+BLOCK = 1_000  # members of one side of a comparison in one task
+BLOCK_VALUES = 1 << 19  # and values of their sets
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import documents, from_planes, mix64, planes, slices, small_batches, text_bytes, written
+from weirflow.llm.common import documents, from_planes, mix64, planes, slices, small_batches, written
 from weirflow.llm.jaccard import WordHashes, shingle_sets
 from weirflow.llm.linking import components, linked
 
@@ -26,8 +26,9 @@ WIDTH = 4
 NEED, OF = 4, 5
 SKETCH = 128
 OVERLAP = 56
-RANGE_BYTES = 12 << 20  # of text for one range of values
-FLUSH = 1 << 20  # values gathered in a task before they are sent
+RANGE_VALUES = 1 << 19  # retained values of one range, at most on average
+FLUSH = 1 << 18  # values gathered in a task before they are sent
+SLICE_BYTES = 1 << 20
 
 _SENT = "r long, data binary, doc_id long, n long, set_hash long, set_check long"
 _NAMES, _KINDS = [x.split()[0] for x in _SENT.split(", ")], [pa.int64(), pa.binary(), *[pa.int64()] * 4]
@@ -52,7 +53,7 @@ def _emit(ranges: int):
             cuts = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1], [True])))
             return _sent(r=r[cuts[:-1]].astype(np.int64), data=[planes(v[a:b]) + planes(o[a:b]) for a, b in zip(cuts[:-1], cuts[1:])])
 
-        for ids, texts in slices(batches):
+        for ids, texts in slices(batches, SLICE_BYTES):
             about = []
             for doc, s in zip(ids, shingle_sets(texts, cache, WIDTH)):
                 key = (int(s.sum(dtype=np.uint64)), int(mix64(s).sum(dtype=np.uint64))) if len(s) else (0, 0)
@@ -129,7 +130,7 @@ def plausible_among(sets: list[np.ndarray]):
 def _sets(df: DataFrame) -> DataFrame:
     def run(batches):
         cache = WordHashes()
-        for ids, texts in slices(batches):
+        for ids, texts in slices(batches, SLICE_BYTES):
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([s.tobytes() for s in shingle_sets(texts, cache, WIDTH)], pa.binary())], ["doc_id", "set"])
 
     return df.mapInArrow(run, "doc_id long, set binary")
@@ -148,7 +149,7 @@ def _looked_up(retained: DataFrame, about: DataFrame) -> DataFrame:
     return written(rows.where(F.col("place") <= F.col("all") - needed + 1).select("sig", "rep", "n"), "looked_up")
 
 
-def near_duplicates(df: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def near_duplicates(df: DataFrame, range_values: int = RANGE_VALUES) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id linked to it), kept (is it that document itself?).
 
     Null and empty texts have no set, link with nothing and are kept. A text of fewer than four words is one shingle. Rows with one id
@@ -158,7 +159,7 @@ def near_duplicates(df: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """
     small_batches(df.sparkSession)
     docs = documents(df)
-    ranges = max(1, text_bytes(docs) // range_bytes)
+    ranges = max(1, docs.count() * SKETCH // range_values)
     sent = written(docs.mapInArrow(_emit(ranges), _SENT), "sketches")
     about = sent.where("data is null").select("doc_id", "n", "set_hash", "set_check")
     known = about.where("doc_id is not null and n > 0")
