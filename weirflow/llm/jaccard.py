@@ -239,9 +239,14 @@ def keep_one(df: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     many = about.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id", F.lit(True).alias("many"))
     told = label.select("doc_id", (F.col("label") != F.col("doc_id")).alias("later")).join(many, "doc_id", "full_outer")
     told = written(told.where("later or many").select(F.col("doc_id").alias("_key"), F.coalesce("later", F.lit(False)).alias("_later")), "told")
-    kept = df.join(told, key == told["_key"], "left").where("_later is null or not _later")
+    # The frame may have columns of the same names: these are meant by frame, and the place gets a name that is free.
+    later, mine = told["_later"], [df[f"`{c}`"] for c in df.columns]
+    kept = df.join(told, key == told["_key"], "left").where(later.isNull() | ~later)
     if told.where("not _later").isEmpty():
-        return kept.select(*(df[c] for c in df.columns))
-    one = Window.partitionBy("_key", F.xxhash64(text)).orderBy(F.xxhash64(*(df[c] for c in df.columns)))
-    again = kept.where("_key is not null").withColumn("_place", F.row_number().over(one)).where("_place = 1")
-    return kept.where("_key is null").select(*(df[c] for c in df.columns)).unionByName(again.select(*(df[c] for c in df.columns)))
+        return kept.select(*mine)
+    place = "_place"
+    while place in df.columns:
+        place += "_"
+    one = Window.partitionBy(told["_key"], F.xxhash64(text)).orderBy(F.xxhash64(*mine))
+    again = kept.where(told["_key"].isNotNull()).select(*mine, F.row_number().over(one).alias(place)).where(F.col(place) == 1)
+    return kept.where(told["_key"].isNull()).select(*mine).unionByName(again.drop(place))
