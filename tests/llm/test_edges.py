@@ -215,15 +215,24 @@ def test_repeats_by_brute_force(spark):
         assert got[i] == (sum(mark), len([1 for a, z in zip(b"\0" + bytes(mark), mark) if z > a])), i
 
 
+def whole_tree(codes, counts, depth, bit):
+    """The trees of one decision over all n-grams, as one range."""
+    import numpy as np
+
+    order = np.argsort(turned := ctw.turned(codes))
+    return ctw.Tree(turned[order], counts[order], depth, bit, 0, (1 << 64) - 1, ctw.Estimator())
+
+
 def test_score_is_a_distribution(spark):
     """Probabilities of all continuations of a context add up to one, and training counts matter."""
     import numpy as np
 
     codes = np.array([(c << 8) | x for c in (0xFFFF, 0xFF61) for x in range(256)], np.uint64)
     counts = np.where((codes & np.uint64(255)) == 97, 5, 0)
-    tree = ctw.Subtree(codes, counts, 0, 2)
-    p = tree.predict().prod(axis=0)
-    assert p[:256].sum() == pytest.approx(1) and p[256:].sum() == pytest.approx(1) and p[97] > 0.5
+    p = np.prod([whole_tree(codes, counts, 2, bit).predict() for bit in range(8)], axis=0)
+    p = dict(zip(np.sort(ctw.turned(codes)).tolist(), p.tolist()))
+    of = lambda c: [p[x] for x in ctw.turned(np.array([(c << 8) | x for x in range(256)], np.uint64)).tolist()]
+    assert sum(of(0xFFFF)) == pytest.approx(1) and sum(of(0xFF61)) == pytest.approx(1) and of(0xFFFF)[97] > 0.5
 
 
 def test_deep_contexts_beat_the_word_base(spark, sf_dir):
@@ -241,15 +250,96 @@ def test_subtree_sums_equal_direct_counts():
 
     text = b"the cat sat on the mat, the cat ate the rat" * 3
     codes, counts = np.unique(ctw.ngrams([text, bytes([0xC3, 0xA9, 0xF4]) * 5], 7)[0], return_counts=True)
-    tree = ctw.Subtree(codes, counts, 0, 7)
+    trees = [whole_tree(codes, counts, 7, bit) for bit in range(8)]
     for d in range(8):
         ones, zeros = Counter(), Counter()
         for code, n in zip(codes.tolist(), counts.tolist()):
-            context, x = code >> 8, code & 255
+            context, x = (code >> 8).to_bytes(7, "big"), code & 255
+            last = int.from_bytes(context[::-1][:d], "big")  # the last byte highest
             for k in range(8):
-                key = ((context & ((1 << 8 * d) - 1)) << 8) | (1 << k) | (x >> (8 - k))
+                key = (last << 8) | (1 << k) | (x >> (8 - k))
                 (ones if (x >> (7 - k)) & 1 else zeros)[key] += n
-        assert dict(zip(tree.keys[d].tolist(), zip(tree.zeros[d].tolist(), tree.ones[d].tolist()))) == {k: (zeros[k], ones[k]) for k in ones.keys() | zeros.keys()}
+        got = {k: v for t in trees for k, v in zip(t.keys[d].tolist(), zip(t.zeros[d].tolist(), t.ones[d].tolist()))}
+        assert got == {k: (zeros[k], ones[k]) for k in ones.keys() | zeros.keys()}
+
+
+def plain_tree_scores(rows, depth):
+    """Context-tree weighting with dictionaries: log10 probability of each text and its end."""
+    import math
+    from collections import defaultdict
+
+    counts, children = defaultdict(lambda: [0, 0]), defaultdict(set)
+
+    def steps(text):
+        data = bytes([255]) * depth + text + bytes([255])
+        for i in range(depth, len(data)):
+            for k in range(8):
+                path = [(data[i - d : i], (1 << k) | (data[i] >> (8 - k))) for d in range(depth + 1)]
+                yield path, (data[i] >> (7 - k)) & 1
+
+    for i, text in rows:
+        for path, bit in steps(text):
+            for d, node in enumerate(path):
+                counts[node][bit] += not ctw.is_held_out(i)
+                if d < depth:
+                    children[node].add(path[d + 1])
+
+    def kt(a, b):
+        return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
+
+    weighted, own = {}, {}
+
+    def weigh(node):
+        if node not in weighted:
+            mine = kt(*counts[node])
+            below = sum(map(weigh, children[node]))
+            top = max(mine, below)
+            both = top + math.log(math.exp(mine - top) + math.exp(below - top))
+            own[node] = math.exp(mine - both)
+            weighted[node] = both - math.log(2) if children[node] else mine
+        return weighted[node]
+
+    for root in [n for n in list(counts) if not n[0]]:
+        weigh(root)
+    out = {}
+    for i, text in rows:
+        total = 0.0
+        for path, bit in steps(text):
+            p = None
+            for node in reversed(path):
+                e = (counts[node][bit] + 0.5) / (sum(counts[node]) + 1)
+                p = e if p is None else own[node] * e + (1 - own[node]) * p
+            total += math.log10(p)
+        out[i] = total
+    return out
+
+
+@pytest.mark.parametrize("size", [1 << 20, 300, 20])
+@pytest.mark.parametrize("depth", [7, 3])
+def test_scores_equal_a_plain_tree_wherever_it_is_cut(spark, depth, size):
+    """One range, some, and cuts inside contexts of up to six bytes give the same; so do blocks of a few texts."""
+    texts = ["", "aaaa aaaa aaaa aaab", "the cat sat on the mat", "The cat sat\n on the rat", "x", "été à l'été", "zzz" * 40, "the cat sat on the mat"]
+    rows = [(i, texts[i % len(texts)] + ("" if i % 3 else " the end")) for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = plain_tree_scores([(i, t.encode()) for i, t in rows], depth)
+    got = {r.doc_id: r.score for r in ctw.score(docs, depth=depth, block_bytes=150, range_size=size).collect()}
+    assert got == {i: pytest.approx(v, rel=1e-6) for i, v in want.items()}
+
+
+def test_a_heavy_context_is_cut(spark):
+    """N-grams of one context byte are spread over ranges: none holds much more than its share."""
+    import random
+
+    from weirflow.llm.common import documents, written
+
+    draw = random.Random(5)
+    docs = spark.createDataFrame([(i, "".join(draw.choice("abcdfghi") + "e" for _ in range(400))) for i in range(40)], "doc_id long, text string")
+    blocks = written(documents(docs).mapInArrow(ctw._blocks(7, 4000, 1), ctw._BLOCK), "blocks")
+    cuts = ctw.range_cuts(blocks, 1, 1000, 7)
+    asked = blocks.mapInArrow(ctw._ask(cuts), ctw._ASKED)
+    summed = asked.groupBy("r").applyInArrow(ctw._sum_range(cuts, 7), ctw._SUMMED).collect()
+    sizes = [len(ctw._unpack(bytes(r.codes), "uint64", True)) for r in summed]
+    assert len(cuts) > 3 and max(sizes) <= 1500
 
 
 def test_html_edges(spark):

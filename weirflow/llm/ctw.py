@@ -4,9 +4,18 @@ A byte is coded as eight binary decisions. Each decision has a context tree over
 Krichevsky-Trofimov estimate of its own counts, and a node's weighted probability is half its own estimate and half the product of
 its children's, so all depths are mixed. The tree is learned from the training documents and then held fixed.
 
-Work is laid out as blocks of documents. A block sends the distinct words and byte n-grams that it holds, with its training counts,
-packed by hash range; counts are summed per range, the tree is computed per pair of last context bytes, and each block gets back the
-numbers it asked for. Nothing that grows with the corpus is broadcast: only depths 0 and 1 of the tree are, 65,535 nodes.
+N-grams are written with the context turned round, the last byte first, so that all n-grams below a node are one interval of codes.
+The work goes in five steps; n-grams stay packed, many to a row, in all of them:
+
+1. Each task packs its documents into blocks, and lists the words and n-grams of a block with their training counts.
+2. Quantiles of a sample of the n-grams cut the codes into ranges of about ``RANGE`` n-grams, whatever their contexts: a heavy context
+   is cut deeper. Cuts decide where work is done, not what comes out.
+3. Each range sums its counts and weighs its nodes, one decision at a time. Nodes that a cut goes through send up their part: counts
+   add up, and so do the logs of the children that lie inside a range.
+4. The cut nodes are weighed, each of the 255 decisions apart: a few nodes per cut.
+5. Each range mixes the estimates along the path of each n-gram and tells every block the numbers that it asked for.
+
+A range weighs its nodes again in step 5: keeping what step 3 knew would take eight numbers for each n-gram.
 """
 
 from __future__ import annotations
@@ -15,17 +24,21 @@ import zlib
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import documents, from_planes, planes, text_bytes, written
+from weirflow.llm.common import documents, from_planes, mix64, planes, written
 
 DEPTH = 7  # context bytes: with the byte itself, all that a 64-bit code holds
 BLOCK_BYTES = 16 << 20
 SLICE_BYTES = 2 << 20
+RANGE = 1 << 20  # n-grams of a range: the distinct ones, and an eighth of those that the blocks send
+REPEATS = 8
+SAMPLED = 256  # n-grams of a range that the cuts are made from
 MERGED = 3 << 20  # n-grams that wait to be summed
+CUT_BYTES = 6  # context bytes that a cut may tell apart
 HELD_OUT = 10
 END = 0xFF  # not a byte of UTF-8: stands before a text and ends it
 ADD = 0.1
@@ -48,6 +61,12 @@ def ngrams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     return code[at], sizes
 
 
+def turned(codes: np.ndarray) -> np.ndarray:
+    """The same n-grams with the last context byte highest and the predicted byte lowest."""
+    x = codes.byteswap()
+    return (x << np.uint64(8)) | (x >> np.uint64(56))
+
+
 def _text_slices(ids: list, texts: list[bytes]):
     start = size = 0
     for i, t in enumerate(texts):
@@ -70,94 +89,138 @@ def _sum_codes(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.nd
     return u[first], np.add.reduceat(n, first, dtype=np.int64)
 
 
-def _packed(codes: np.ndarray) -> bytes:
-    """Sorted codes as byte planes of their differences, which compress."""
-    return planes(np.diff(codes, prepend=np.zeros(1, np.uint64)))
+def _squeezed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def _restored(data: bytes) -> bytes:
+    size = int.from_bytes(data[:8], "little")
+    return pa.decompress(data[8:], size, "zstd", asbytes=True) if size else b""
+
 
+def _pack(values: np.ndarray, rising: bool = False) -> bytes:
+    """Byte planes, compressed; of rising values their differences."""
+    if not len(values):
+        return _squeezed(b"")
+    return _squeezed(planes(np.diff(values, prepend=values.dtype.type(0)) if rising else values))
 
-def _unpacked(data: bytes) -> np.ndarray:
-    return np.cumsum(from_planes(data, np.uint64), dtype=np.uint64)
 
+def _unpack(data: bytes, dtype, rising: bool = False) -> np.ndarray:
+    raw = _restored(data)
+    values = from_planes(raw, dtype) if raw else np.zeros(0, dtype)
+    return np.cumsum(values, dtype=dtype) if rising else values
 
-def _word_range(word: bytes, ranges: int) -> int:
-    return zlib.crc32(word) % ranges
 
+def _words_of(data: bytes, n: int) -> list[bytes]:
+    return _restored(data).split(b" ") if n else []
+
+
+def _words_by_range(words: list[bytes], ranges: int) -> list[list[int]]:
+    """Positions of the words that belong to each range."""
+    out: list[list[int]] = [[] for _ in range(ranges)]
+    for i, w in enumerate(words):
+        out[zlib.crc32(w) % ranges].append(i)
+    return out
 
-def _code_range(codes: np.ndarray, ranges: int) -> np.ndarray:
-    x = codes * np.uint64(0x9E3779B97F4A7C15)
-    return ((x >> np.uint64(32)) % np.uint64(ranges)).astype(np.int32)
 
+def _tokens(text: bytes) -> list[bytes]:
+    return [*text.lower().split(), b""]  # the empty word is the end
 
-def inventory(ids: list, texts: list[bytes], depth: int, ranges: int):
-    """The distinct words by range (sorted) with training counts, and the distinct n-gram codes with training counts."""
+
+def inventory(ids: list, texts: list[bytes], depth: int) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words (sorted) and turned n-grams (sorted) of a block, each with training counts."""
     trained, held = Counter(), set()
     codes, counts, pending = [], [], 0
     for some, part in _text_slices(ids, texts):
         out = [is_held_out(i) for i in some]
         for text, h in zip(part, out):
-            ws = text.lower().split()
-            ws.append(b"")
+            ws = _tokens(text)
             held.update(ws) if h else trained.update(ws)
         for flag in (False, True):
             chosen = [t for t, h in zip(part, out) if h == flag]
             if chosen:
-                u, n = np.unique(ngrams(chosen, depth)[0], return_counts=True)
+                u, n = np.unique(turned(ngrams(chosen, depth)[0]), return_counts=True)
                 codes.append(u)
                 counts.append(n * (not flag))
                 pending += len(u)
         if pending > MERGED:  # summed up as they come: memory follows the distinct ones
             codes, counts = ([x] for x in _sum_codes(codes, counts))
             pending = 0
-    by_range: list[list[bytes]] = [[] for _ in range(ranges)]
-    for w in trained.keys() | held:
-        by_range[_word_range(w, ranges)].append(w)
-    return [sorted(x) for x in by_range], trained, *_sum_codes(codes, counts)
+    words = sorted(trained.keys() | held)
+    return words, np.array([trained[w] for w in words], np.int64), *_sum_codes(codes, counts)
 
 
-_ASKED = "r long, block long, words binary, word_n binary, codes binary, code_n binary"
+def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    return pa.table([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
-def _ask(depth: int, ranges: int):
-    def run(key, table):
-        block = key[0].as_py()
-        by_range, trained, codes, counts = inventory(table["doc_id"].to_pylist(), table["text"].cast(pa.binary()).to_pylist(), depth, ranges)
-        r = _code_range(codes, ranges)
-        rows = []
-        for i, ws in enumerate(by_range):
-            mine = r == i
-            if ws or mine.any():
-                rows.append((i, block, b" ".join(ws), np.array([trained.get(w, 0) for w in ws], np.int64).tobytes(), _packed(codes[mine]), planes(counts[mine])))
-        cols = list(zip(*rows))
-        kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
-        return pa.table([pa.array(c, t) for c, t in zip(cols, kinds)], names=[x.split()[0] for x in _ASKED.split(", ")])
+_BLOCK = "block long, ids array<long>, sizes binary, texts binary, words binary, word_n binary, codes binary, code_n binary, sample array<long>"
+
+
+def _blocks(depth: int, block_bytes: int, every: int):
+    kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 6, pa.list_(pa.int64())]
+    schema = pa.schema([(c.split()[0], t) for c, t in zip(_BLOCK.split(", "), kinds)])
+
+    def packed(block, ids, texts):
+        words, word_n, codes, code_n = inventory(ids, texts, depth)
+        sample = codes[mix64(codes) % np.uint64(every) == 0] >> np.uint64(11)  # as exact as a double
+        sizes = np.array([len(t) for t in texts], np.int64)
+        row = (block, ids, _pack(sizes), _squeezed(b"".join(texts)), _squeezed(b" ".join(words)), _pack(word_n), _pack(codes, True), _pack(code_n), sample.astype(np.int64))
+        return _table([row], schema).to_batches()[0]
+
+    def run(batches):
+        first, n, size = TaskContext.get().partitionId() << 32, 0, 0
+        ids, texts = [], []
+        for batch in batches:
+            for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
+                if size and size + len(text) > block_bytes:
+                    yield packed(first + n, ids, texts)
+                    ids, texts, n, size = [], [], n + 1, 0
+                ids.append(i)
+                texts.append(text)
+                size += len(text)
+        if ids:
+            yield packed(first + n, ids, texts)
 
     return run
 
 
-def _words_of(data: bytes, n: int) -> list[bytes]:
-    return data.split(b" ") if n else []
-
-
-def _totals(table):
-    """Sums of one range: n-gram codes with their training counts; and in the row of code null the words' total and number."""
-    words: Counter = Counter()
-    codes, counts = [], []
-    for row in table.select(["words", "word_n", "codes", "code_n"]).to_pylist():
-        n = np.frombuffer(row["word_n"], np.int64)
-        for w, c in zip(_words_of(row["words"], len(n)), n.tolist()):
-            if c:
-                words[w] += c
-        codes.append(_unpacked(row["codes"]))
-        counts.append(from_planes(row["code_n"], np.int64))
-        if sum(map(len, codes[1:])) > MERGED:
-            codes, counts = ([x] for x in _sum_codes(codes, counts))
-    u, n = _sum_codes(codes, counts)
-    return pa.table({
-        "r": pa.array([table["r"][0].as_py()] * (len(u) + 1), pa.int64()),
-        "code": pa.array(np.append(u.view(np.int64), 0), pa.int64(), mask=np.arange(len(u) + 1) == len(u)),
-        "n": pa.array(np.append(n, sum(words.values())), pa.int64()),
-        "known": pa.array([None] * len(u) + [len(words)], pa.int64()),
-    })
+def range_cuts(blocks: DataFrame, every: int, size: int, depth: int) -> np.ndarray:
+    """First codes of all ranges but the first, from the sampled n-grams; one number per range comes to the driver."""
+    sent = blocks.select("block", F.explode("sample").alias("code"))
+    repeats = sent.where(F.pmod(F.xxhash64("block", "code"), F.lit(REPEATS)) == 0).select("code")
+    sample = sent.select("code").distinct().unionByName(repeats)
+    ranges = -(-sample.count() * every // size)
+    if ranges <= 1:
+        return np.zeros(0, np.uint64)
+    at = sample.approxQuantile("code", [i / ranges for i in range(1, ranges)], 1 / (8 * ranges))
+    low = np.uint64((1 << (64 - 8 * min(depth, CUT_BYTES))) - 1)
+    cuts = np.unique((np.array(at).astype(np.uint64) << np.uint64(11)) & ~low)
+    return cuts[cuts > 0]
+
+
+_ASKED = "r long, block long, words binary, word_n binary, codes binary, code_n binary"
+
+
+def _ask(cuts: np.ndarray):
+    schema = pa.schema([(c.split()[0], t) for c, t in zip(_ASKED.split(", "), [pa.int64(), pa.int64(), *[pa.binary()] * 4])])
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                word_n = _unpack(row["word_n"], np.int64)
+                words = _words_of(row["words"], len(word_n))
+                codes, code_n = _unpack(row["codes"], np.uint64, True), _unpack(row["code_n"], np.int64)
+                ends = [0, *np.searchsorted(codes, cuts).tolist(), len(codes)]
+                rows = []
+                for r, mine in enumerate(_words_by_range(words, len(cuts) + 1)):
+                    a, b = ends[r], ends[r + 1]
+                    if mine or b > a:
+                        some = _squeezed(b" ".join(words[i] for i in mine))
+                        rows.append((r, row["block"], some, _pack(word_n[mine]), _pack(codes[a:b], True), _pack(code_n[a:b])))
+                yield from _table(rows, schema).to_batches()
+
+    return run
 
 
 def log_gamma(z: np.ndarray) -> np.ndarray:
@@ -171,49 +234,25 @@ def log_gamma(z: np.ndarray) -> np.ndarray:
 
 def log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Log probability of a sequence with a zeros and b ones under the Krichevsky-Trofimov estimator."""
-    return log_gamma(a + 0.5) + log_gamma(b + 0.5) - log_gamma(a + b + 1) - 1.1447298858494002
+    return log_gamma(a + 0.5) + log_gamma(b + 0.5) - log_gamma(a + b + 1.0) - 1.1447298858494002
 
 
-class Subtree:
-    """The nodes of depth ``top`` to ``depth`` above a set of n-grams that holds all of each depth-``top`` context."""
+class Estimator:
+    """``log_kt`` of whole numbers, by a table where they are small."""
 
-    def __init__(self, codes: np.ndarray, counts: np.ndarray, top: int, depth: int):
-        self.top, self.depth = top, depth
-        x = (codes & np.uint64(255)).astype(np.int64)
-        context = codes >> np.uint64(8)
-        node = np.stack([(1 << k) | (x >> (8 - k)) for k in range(8)]).astype(np.uint64)  # which decision, by the bits before it
-        self.bits = np.stack([((x >> (7 - k)) & 1).astype(np.uint8) for k in range(8)])
-        weight = np.broadcast_to(counts.astype(float), node.shape)
-        self.keys, self.zeros, self.ones, self.parents = {}, {}, {}, {}
-        mask = np.uint64((1 << (8 * depth)) - 1)
-        self.keys[depth], inv = np.unique((((context & mask) << np.uint64(8))[None, :] | node).ravel(), return_inverse=True)
-        self.index = inv.reshape(node.shape)  # of the deepest node of each n-gram and decision
-        size = len(self.keys[depth])
-        self.ones[depth] = np.bincount(inv, (weight * self.bits).ravel(), size)
-        self.zeros[depth] = np.bincount(inv, (weight * (1 - self.bits)).ravel(), size)
-        for d in range(depth, top, -1):  # a node's counts are the sums of its children's
-            key, mask = self.keys[d], np.uint64((1 << (8 * (d - 1))) - 1)
-            self.keys[d - 1], up = np.unique((((key >> np.uint64(8)) & mask) << np.uint64(8)) | (key & np.uint64(255)), return_inverse=True)
-            self.parents[d] = up
-            self.ones[d - 1], self.zeros[d - 1] = (np.bincount(up, v, len(self.keys[d - 1])) for v in (self.ones[d], self.zeros[d]))
-        self.weighted, self.stay = {depth: log_kt(self.zeros[depth], self.ones[depth])}, {}
-        for d in range(depth - 1, top - 1, -1):
-            below = np.bincount(self.parents[d + 1], self.weighted[d + 1], len(self.keys[d]))
-            self.weighted[d], self.stay[d] = mixed(log_kt(self.zeros[d], self.ones[d]), below)
-
-    def estimate(self, d: int, index: np.ndarray) -> np.ndarray:
-        a, b = self.zeros[d][index], self.ones[d][index]
-        return (np.where(self.bits == 1, b, a) + 0.5) / (a + b + 1)
+    def __init__(self, size: int = 1 << 12):
+        n = np.arange(size, dtype=float)
+        self.size, self.half, self.whole = size, log_gamma(n + 0.5), log_gamma(n + 1)
 
-    def predict(self) -> np.ndarray:
-        """For each n-gram and bit: the mixture of the estimates of depth ``top`` and deeper."""
-        index = self.index
-        p = self.estimate(self.depth, index)
-        for d in range(self.depth - 1, self.top - 1, -1):
-            index = self.parents[d + 1][index]
-            stay = self.stay[d][index]
-            p = stay * self.estimate(d, index) + (1 - stay) * p
-        return p
+    def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        n = a + b
+        large = np.flatnonzero(n >= self.size)
+        if not len(large):
+            return self.half[a] + self.half[b] - self.whole[n] - 1.1447298858494002
+        top = self.size - 1
+        out = self.half[np.minimum(a, top)] + self.half[np.minimum(b, top)] - self.whole[np.minimum(n, top)] - 1.1447298858494002
+        out[large] = log_kt(a[large].astype(float), b[large].astype(float))
+        return out
 
 
 def mixed(own: np.ndarray, children: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -222,135 +261,245 @@ def mixed(own: np.ndarray, children: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return both - np.log(2), np.exp(own - both)
 
 
-SPLIT = 2  # depth from which subtrees are computed apart
-GROUPS = 256
+class Tree:
+    """The context trees of the decisions number ``bit`` (0 to 7) of a byte, over the n-grams of one range.
 
+    ``codes`` are turned, sorted and distinct, and all that lie from ``low`` to ``high``. The node at depth d of an n-gram is told by
+    the first d context bytes and the bits before the decision. ``cut[d]`` marks the nodes that reach beyond the range: their counts
+    are parts, ``below`` holds the logs of their children inside the range only, and they have no weights until ``fill``.
+    """
 
-class Top:
-    """Depths 0 and 1 as arrays over (last byte, decision)."""
+    def __init__(self, codes: np.ndarray, counts: np.ndarray, depth: int, bit: int, low: int, high: int, kt: Estimator):
+        self.depth = depth
+        self.keys, self.zeros, self.ones, self.parents = {}, {}, {}, {}
+        self.stay, self.below, self.cut = {}, {}, {}
+        x = codes & np.uint64(255)
+        self.bits = ((x >> np.uint64(7 - bit)) & np.uint64(1)).astype(bool)
+        group = codes >> np.uint64(8 - bit)
+        starts = np.concatenate(([True], group[1:] != group[:-1]))
+        first = np.flatnonzero(starts)
+        self.index = np.cumsum(starts) - 1  # of the deepest node of each n-gram
+        self.ones[depth] = np.add.reduceat(counts * self.bits, first)
+        self.zeros[depth] = np.add.reduceat(counts, first) - self.ones[depth]
+        context, u = codes[first] >> np.uint64(8), (x[first] >> np.uint64(8 - bit)) | np.uint64(1 << bit)
+        self.keys[depth] = self._key(context, u, depth)
+        weighted = kt(self.zeros[depth], self.ones[depth])
+        inside = np.ones(len(first), bool)
+        for d in range(depth - 1, -1, -1):  # a node's counts are the sums of its children's
+            key = ((self.keys[d + 1] >> np.uint64(16)) << np.uint64(8)) | (self.keys[d + 1] & np.uint64(255))
+            self.keys[d], up = np.unique(key, return_inverse=True)
+            size = len(self.keys[d])
+            self.parents[d + 1] = up
+            self.ones[d], self.zeros[d] = (np.bincount(up, v, size).astype(np.int64) for v in (self.ones[d + 1], self.zeros[d + 1]))
+            self.below[d] = np.bincount(up, np.where(inside, weighted, 0.0), size)
+            weighted, self.stay[d] = mixed(kt(self.zeros[d], self.ones[d]), self.below[d])
+            inside = self._inside(d, low, high)
+            self.cut[d] = np.flatnonzero(~inside)
+
+    @staticmethod
+    def _key(context: np.ndarray, u: np.ndarray, d: int) -> np.ndarray:
+        return ((context >> np.uint64(8 * (7 - d))) << np.uint64(8)) | u
+
+    def _inside(self, d: int, low: int, high: int) -> np.ndarray:
+        if d == 0:  # the root is weighed with the cut nodes, however many ranges there are
+            return np.zeros(len(self.keys[0]), bool)
+        start = (self.keys[d] >> np.uint64(8)) << np.uint64(64 - 8 * d)
+        return (start >= np.uint64(low)) & ((start | np.uint64((1 << (64 - 8 * d)) - 1)) <= np.uint64(high))
+
+    def parts(self):
+        """(d, key, zeros, ones, below) of the cut nodes."""
+        for d, at in self.cut.items():
+            if len(at):
+                yield d, self.keys[d][at].astype(np.int64), self.zeros[d][at], self.ones[d][at], self.below[d][at]
+
+    def fill(self, weighed: dict[int, tuple[np.ndarray, ...]]) -> None:
+        """Set whole counts and weights of the cut nodes: per depth sorted keys, zeros, ones, weights of the own estimate."""
+        for d, at in self.cut.items():
+            if len(at):
+                keys, zeros, ones, stay = weighed[d]
+                found = np.searchsorted(keys, self.keys[d][at].astype(np.int64))
+                self.zeros[d][at], self.ones[d][at], self.stay[d][at] = zeros[found], ones[found], stay[found]
 
-    def __init__(self, rows):
-        zeros, ones, below = np.zeros((256, 256)), np.zeros((256, 256)), np.zeros((256, 256))
-        for r in rows:
-            zeros[r.c, r.node], ones[r.c, r.node], below[r.c, r.node] = r.zeros, r.ones, r.weighted
-        weighted, self.stay1 = mixed(log_kt(zeros, ones), below)
-        self.kt1 = (ones + 0.5) / (zeros + ones + 1)
-        z0, o0 = zeros.sum(0), ones.sum(0)
-        _, self.stay0 = mixed(log_kt(z0, o0), weighted.sum(0))
-        self.kt0 = (o0 + 0.5) / (z0 + o0 + 1)
+    def predict(self) -> np.ndarray:
+        """The mixture of all depths' estimates of each n-gram's decision."""
+        index, p = self.index, None
+        for d in range(self.depth, -1, -1):
+            if p is not None:
+                index = self.parents[d + 1][index]
+            a, b = self.zeros[d], self.ones[d]
+            one = (b + 0.5) / (a + b + 1.0)
+            own = one[index]
+            own = np.where(self.bits, own, 1 - own)
+            if p is None:
+                p = own
+            else:
+                stay = self.stay[d][index]
+                p = stay * own + (1 - stay) * p
+        return p
 
-    def tables(self) -> tuple[np.ndarray, ...]:
-        return self.stay1, self.kt1, self.stay0, self.kt0
 
+def _bounds(cuts: np.ndarray, r: int) -> tuple[int, int]:
+    low = int(cuts[r - 1]) if r else 0
+    return low, int(cuts[r]) - 1 if r < len(cuts) else (1 << 64) - 1
 
-def finish(top: tuple[np.ndarray, ...], codes: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """log10 probability of each n-gram's byte, from the deeper mixtures per bit."""
-    stay1, kt1, stay0, kt0 = top
-    x = (codes & np.uint64(255)).astype(np.int64)
-    c = ((codes >> np.uint64(8)) & np.uint64(255)).astype(np.int64)
-    total = np.zeros(len(codes))
-    for k in range(8):
-        u, bit = (1 << k) | (x >> (8 - k)), (x >> (7 - k)) & 1
-        for stay, kt in ((stay1[c, u], kt1[c, u]), (stay0[u], kt0[u])):
-            p[k] = stay * np.where(bit == 1, kt, 1 - kt) + (1 - stay) * p[k]
-        total += np.log10(p[k])
-    return total
 
+_PART = "struct<d:int,key:long,zeros:long,ones:long,below:double>"
+_SUMMED = f"r long, codes binary, code_n binary, blocks array<long>, at array<binary>, word_n array<binary>, n long, known long, parts array<{_PART}>"
 
-def _subtree_of(frame: pd.DataFrame, depth: int) -> tuple[np.ndarray, Subtree]:
-    codes = frame["code"].to_numpy().view(np.uint64)
-    return codes, Subtree(codes, frame["n"].to_numpy(), SPLIT, depth)
 
+def _sum_range(cuts: np.ndarray, depth: int):
+    """One row for a range: its n-grams with counts, where in them those of each block stand, totals of each block's words, and its
+    parts of the cut nodes."""
+    part = pa.struct([("d", pa.int32()), ("key", pa.int64()), ("zeros", pa.int64()), ("ones", pa.int64()), ("below", pa.float64())])
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.list_(pa.binary()), pa.int64(), pa.int64(), pa.list_(part)]
+    schema = pa.schema([(c, t) for c, t in zip("r codes code_n blocks at word_n n known parts".split(), kinds)])
 
-def train(totals: DataFrame, depth: int) -> DataFrame:
-    """(r, code, logp): log10 probability of each n-gram's last byte after its context."""
-    grams = totals.where("code is not null").select("r", "code", "n")
-    grams = grams.withColumn("g", F.pmod(F.xxhash64(F.shiftrightunsigned("code", 8).bitwiseAND(F.lit((1 << (8 * SPLIT)) - 1))), F.lit(GROUPS)))
+    def run(key, table):
+        r, words = key[0].as_py(), Counter()
+        codes, counts = [], []
+        columns = [table[c] for c in ("words", "word_n", "codes", "code_n")]
+        for i in range(table.num_rows):
+            text, word_n, some, n = (c[i].as_py() for c in columns)
+            word_n = _unpack(word_n, np.int64)
+            for w, c in zip(_words_of(text, len(word_n)), word_n.tolist()):
+                if c:
+                    words[w] += c
+            codes.append(_unpack(some, np.uint64, True))
+            counts.append(_unpack(n, np.int64))
+            if sum(map(len, codes[1:])) > MERGED:
+                codes, counts = ([x] for x in _sum_codes(codes, counts))
+        codes, counts = _sum_codes(codes, counts)
+        at, word_n = [], []
+        for i in range(table.num_rows):
+            at.append(_pack(np.searchsorted(codes, _unpack(columns[2][i].as_py(), np.uint64, True)).astype(np.uint32), True))
+            mine = _words_of(columns[0][i].as_py(), len(_unpack(columns[1][i].as_py(), np.int64)))
+            word_n.append(_pack(np.array([words[w] for w in mine], np.int64)))
+        parts, kt = [], Estimator()
+        if len(codes):
+            for bit in range(8):
+                for d, *values in Tree(codes, counts, depth, bit, *_bounds(cuts, r), kt).parts():
+                    parts += [dict(zip(("d", "key", "zeros", "ones", "below"), (d, *v))) for v in zip(*(x.tolist() for x in values))]
+        return _table([(r, _pack(codes, True), _pack(counts), table["block"].to_pylist(), at, word_n, sum(words.values()), len(words), parts)], schema)
 
-    def up(frame: pd.DataFrame) -> pd.DataFrame:
-        _, tree = _subtree_of(frame, depth)
-        key = tree.keys[SPLIT]
-        at = (((key >> np.uint64(8)) & np.uint64(255)) << np.uint64(8) | (key & np.uint64(255))).astype(np.int64)
-        u, inv = np.unique(at, return_inverse=True)
-        sums = [np.bincount(inv, v, len(u)) for v in (tree.zeros[SPLIT], tree.ones[SPLIT], tree.weighted[SPLIT])]
-        return pd.DataFrame({"c": u >> 8, "node": u & 255, "zeros": sums[0], "ones": sums[1], "weighted": sums[2]})
+    return run
 
-    rows = grams.groupBy("g").applyInPandas(up, "c long, node long, zeros double, ones double, weighted double")
-    rows = rows.groupBy("c", "node").agg(*(F.sum(x).alias(x) for x in ("zeros", "ones", "weighted")))
-    top = Top(rows.collect())  # at most 256 x 255 rows
-    # Plain arrays: what is broadcast is pickled by reference, and executors do not have this package.
-    shared = totals.sparkSession.sparkContext.broadcast(top.tables())
 
-    def down(frame: pd.DataFrame) -> pd.DataFrame:
-        codes, tree = _subtree_of(frame, depth)
-        return pd.DataFrame({"r": frame["r"], "code": frame["code"], "logp": finish(shared.value, codes, tree.predict())})
+_WEIGHED = "d int, key long, zeros long, ones long, stay double"
+
+
+def _weigh(depth: int):
+    def run(table):
+        """The cut nodes of one decision, from the deepest to the root."""
+        d, key = table["d"].to_numpy(), table["key"].to_numpy()
+        zeros, ones, below = (table[c].to_numpy() for c in ("zeros", "ones", "below"))
+        kt, out, deeper = Estimator(), [], None
+        for level in range(depth, -1, -1):
+            at = np.flatnonzero(d == level)
+            at = at[np.argsort(key[at])]
+            if not len(at):
+                continue
+            sums = below[at].copy()
+            if deeper is not None:
+                up = ((deeper[0] >> 16) << 8) | (deeper[0] & 255)
+                np.add.at(sums, np.searchsorted(key[at], up), deeper[1])
+            weighted, stay = mixed(kt(zeros[at], ones[at]), sums)
+            deeper = key[at], weighted
+            out.append((d[at], key[at], zeros[at], ones[at], stay))
+        cols = [np.concatenate(c) for c in zip(*out)]
+        return pa.table([pa.array(c, t) for c, t in zip(cols, [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.float64()])], names=[c.split()[0] for c in _WEIGHED.split(", ")])
 
-    return grams.groupBy("g").applyInPandas(down, "r long, code long, logp double")
+    return run
 
 
 _TOLD = "block long, r long, word_n binary, logp binary"
 
 
-def _answer(asked, model):
-    """For each block of a range: the total training counts of its words and the log probabilities of its n-grams, in its order."""
-    words: Counter = Counter()
-    rows = asked.to_pylist()
-    for row in rows:
-        n = np.frombuffer(row["word_n"], np.int64)
-        row["split"] = _words_of(row["words"], len(n))
-        words.update({w: c for w, c in zip(row["split"], n.tolist()) if c})
-    codes = model["code"].to_numpy().view(np.uint64)
-    order = np.argsort(codes)
-    codes, logp = codes[order], model["logp"].to_numpy()[order]
-    out = [(x["block"], x["r"], np.array([words.get(w, 0) for w in x["split"]], np.int64).tobytes(), logp[np.searchsorted(codes, _unpacked(x["codes"]))].tobytes()) for x in rows]
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-    return pa.table([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)], names=["block", "r", "word_n", "logp"])
+def _tell(cuts: np.ndarray, depth: int):
+    """log10 probabilities of a range's n-grams, told to each block in its order, with the training counts of its words."""
+    schema = pa.schema([("block", pa.int64()), ("r", pa.int64()), ("word_n", pa.binary()), ("logp", pa.binary())])
+
+    def run(summed, weighed):
+        row = summed.to_pylist()[0]
+        codes, counts = _unpack(row["codes"], np.uint64, True), _unpack(row["code_n"], np.int64)
+        columns = [weighed[c].to_numpy() for c in ("d", "key", "zeros", "ones", "stay")]
+        order = np.lexsort((columns[1], columns[0]))
+        columns = [c[order] for c in columns]
+        upper = {d: tuple(c[columns[0] == d] for c in columns[1:]) for d in np.unique(columns[0]).tolist()}
+        logp, kt = np.zeros(len(codes)), Estimator()
+        if len(codes):
+            for bit in range(8):
+                tree = Tree(codes, counts, depth, bit, *_bounds(cuts, row["r"]), kt)
+                tree.fill(upper)
+                logp += np.log10(tree.predict())
+        logp = logp.astype(np.float32)
+        rows = []
+        for block, at, word_n in zip(row["blocks"], row["at"], row["word_n"]):
+            rows.append((block, row["r"], word_n, logp[_unpack(at, np.uint32, True)].tobytes()))
+        return _table(rows, schema)
+
+    return run
 
 
 _SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, n_bytes long, base_score double, score double, bits_per_byte double"
 
 
 def _score(depth: int, ranges: int, n: int, v: int):
+    kinds = [pa.int64(), pa.bool_(), *[pa.int64()] * 4, *[pa.float64()] * 3]
+    schema = pa.schema([(c.split()[0], t) for c, t in zip(_SCORED.split(", "), kinds)])
+
     def run(docs, told):
-        ids, texts = docs["doc_id"].to_pylist(), docs["text"].cast(pa.binary()).to_pylist()
-        by_range, _, codes, _ = inventory(ids, texts, depth, ranges)
-        r = _code_range(codes, ranges)
-        count, logp = {}, np.zeros(len(codes))
-        for row in told.to_pylist():
-            count.update(zip(by_range[row["r"]], np.frombuffer(row["word_n"], np.int64).tolist()))
-            logp[r == row["r"]] = np.frombuffer(row["logp"], np.float64)
+        row = docs.to_pylist()[0]
+        ids, data = row["ids"], _restored(row["texts"])
+        ends = np.cumsum(_unpack(row["sizes"], np.int64)).tolist()
+        texts = [data[a:b] for a, b in zip([0, *ends], ends)]
+        words = _words_of(row["words"], len(_unpack(row["word_n"], np.int64)))
+        del data, row
+        by_range = _words_by_range(words, ranges)
+        count, logp = {}, []
+        for x in sorted(told.to_pylist(), key=lambda x: x["r"]):  # ranges are intervals: their parts follow each other
+            count.update(zip((words[i] for i in by_range[x["r"]]), _unpack(x["word_n"], np.int64).tolist()))
+            logp.append(np.frombuffer(x["logp"], np.float32))
+        logp = np.concatenate(logp)
+        slices, grams = list(_text_slices(ids, texts)), []
+        for _, part in slices:
+            code, sizes = ngrams(part, depth)
+            u, at = np.unique(turned(code), return_inverse=True)
+            grams.append((u, at.astype(np.int32), sizes))
+        codes = np.unique(np.concatenate([u for u, _, _ in grams]))
         below = n + ADD * (v + 1)
         value = {w: np.log10((c + ADD) / below) for w, c in count.items()}
         out = []
-        for some, part in _text_slices(ids, texts):
-            grams, sizes = ngrams(part, depth)
-            each = np.add.reduceat(logp[np.searchsorted(codes, grams)], np.concatenate(([0], np.cumsum(sizes)[:-1])))
+        for (some, part), (u, at, sizes) in zip(slices, grams):
+            each = logp[np.searchsorted(codes, u)].astype(float)[at]
+            each = np.add.reduceat(each, np.concatenate(([0], np.cumsum(sizes)[:-1])))
             for doc, text, score in zip(some, part, each.tolist()):
-                ws = Counter(text.lower().split())
-                ws[b""] += 1
+                ws = Counter(_tokens(text))
                 base = sum(c * value[w] for w, c in ws.items())
                 known = sum(c for w, c in ws.items() if count[w])
                 out.append((doc, is_held_out(doc), sum(ws.values()), known, n, len(text), float(base), score, -score * np.log2(10) / (len(text) + 1)))
-        names = [x.split()[0] for x in _SCORED.split(", ")]
-        kinds = [pa.int64(), pa.bool_(), *[pa.int64()] * 4, *[pa.float64()] * 3]
-        return pa.table([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)], names=names)
+        return _table(out, schema)
 
     return run
 
 
-def score(df: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def score(df: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES, range_size: int = RANGE) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, n_bytes, base_score, score, bits_per_byte.
 
     ``score`` is the log10 probability of the text and its end under the tree; ``bits_per_byte`` the code length per byte, the end
     counted as a byte. Null text counts as empty and is one token, the end. A null id is held out. Repeated rows are learned as often
     as they stand there. Without training documents every bit has probability one half and N is 0. An empty table gives no rows.
+    Texts are read whole, however long; other columns are not read. The log of each byte's probability is rounded to 24 bits.
     """
-    docs = documents(df)
-    blocks = ranges = max(1, -(-text_bytes(docs) // block_bytes))
-    docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
-    asked = written(docs.groupBy("block").applyInArrow(_ask(depth, ranges), _ASKED), "asked")
-    totals = written(asked.groupBy("r").applyInArrow(_totals, "r long, code long, n long, known long"), "totals")
-    known = totals.where("code is null").agg(F.sum("n").alias("n"), F.sum("known").alias("v")).first()
-    model = train(totals, depth)
-    told = asked.groupBy("r").cogroup(model.groupBy("r")).applyInArrow(_answer, _TOLD)
-    return docs.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_score(depth, ranges, known.n or 0, known.v or 0), _SCORED)
+    every = max(1, range_size // SAMPLED)
+    blocks = written(documents(df).mapInArrow(_blocks(depth, block_bytes, every), _BLOCK), "blocks")
+    cuts = range_cuts(blocks, every, range_size, depth)
+    asked = blocks.select("block", "words", "word_n", "codes", "code_n").mapInArrow(_ask(cuts), _ASKED)
+    summed = written(asked.groupBy("r").applyInArrow(_sum_range(cuts, depth), _SUMMED), "ranges")
+    known = summed.agg(F.sum("n").alias("n"), F.sum("known").alias("v")).first()
+    parts = summed.select("r", F.inline("parts"))
+    nodes = parts.groupBy("d", "key").agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "below")))
+    nodes = nodes.groupBy(F.col("key").bitwiseAND(F.lit(255)).alias("u")).applyInArrow(_weigh(depth), _WEIGHED)
+    weighed = parts.select(F.col("r").alias("own"), "d", "key").join(nodes, ["d", "key"])
+    told = summed.drop("parts", "n", "known").groupBy("r").cogroup(weighed.groupBy("own")).applyInArrow(_tell(cuts, depth), _TOLD)
+    docs = blocks.select("block", "ids", "sizes", "texts", "words", "word_n")
+    return docs.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_score(depth, len(cuts) + 1, known.n or 0, known.v or 0), _SCORED)
