@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -51,10 +52,11 @@ def is_held_out(doc_id) -> bool:
 def ngrams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Codes of the predicted positions (context bytes and the byte, most recent last) and the number of them per text."""
     pad = bytes([END]) * depth
-    data = np.frombuffer(pad + pad.join(texts) + pad, np.uint8).astype(np.uint64)
-    code = np.zeros(len(data) - depth, np.uint64)
-    for k in range(depth + 1):
-        code = (code << np.uint64(8)) | data[k : len(data) - depth + k]
+    data = bytes(7 - depth) + pad + pad.join(texts) + pad + bytes(7)
+    code = np.empty(len(data) - 7, np.uint64)
+    for k in range(8):  # eight bytes are read at a time, from each of eight starting points
+        code[k::8] = np.frombuffer(data, ">u8", len(code[k::8]), k)
+    code = code[:-7] & np.uint64((1 << (8 * (depth + 1))) - 1)
     sizes = np.array([len(t) + 1 for t in texts], np.int64)  # with the end
     starts = np.concatenate(([0], np.cumsum(sizes - 1 + depth)[:-1]))
     at = np.arange(int(sizes.sum())) + np.repeat(starts - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes)
@@ -418,13 +420,10 @@ def _tell(cuts: np.ndarray, depth: int):
     """log10 probabilities of a range's n-grams, told to each block in its order, with the training counts of its words."""
     schema = pa.schema([("block", pa.int64()), ("r", pa.int64()), ("word_n", pa.binary()), ("logp", pa.binary())])
 
-    def run(summed, weighed):
-        row = summed.to_pylist()[0]
+    def tell(row):
         codes, counts = _unpack(row["codes"], np.uint64, True), _unpack(row["code_n"], np.int64)
-        columns = [weighed[c].to_numpy() for c in ("d", "key", "zeros", "ones", "stay")]
-        order = np.lexsort((columns[1], columns[0]))
-        columns = [c[order] for c in columns]
-        upper = {d: tuple(c[columns[0] == d] for c in columns[1:]) for d in np.unique(columns[0]).tolist()}
+        nodes = sorted((x["d"], x["key"], x["zeros"], x["ones"], x["stay"]) for x in row["weighed"] or [])
+        upper = {d: tuple(map(np.array, list(zip(*of))[1:])) for d, of in ((d, list(of)) for d, of in groupby(nodes, lambda x: x[0]))}
         logp, kt = np.zeros(len(codes)), Estimator()
         if len(codes):
             for bit in range(8):
@@ -432,10 +431,13 @@ def _tell(cuts: np.ndarray, depth: int):
                 tree.fill(upper)
                 logp += np.log10(tree.predict())
         logp = logp.astype(np.float32)
-        rows = []
         for block, at, word_n in zip(row["blocks"], row["at"], row["word_n"]):
-            rows.append((block, row["r"], word_n, logp[_unpack(at, np.uint32, True)].tobytes()))
-        return _table(rows, schema)
+            yield block, row["r"], word_n, _pack(logp[_unpack(at, np.uint32, True)])
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):  # one range at a time
+                yield from _table(list(tell(batch.slice(i, 1).to_pylist()[0])), schema).to_batches()
 
     return run
 
@@ -458,7 +460,7 @@ def _score(depth: int, ranges: int, n: int, v: int):
         count, logp = {}, []
         for x in sorted(told.to_pylist(), key=lambda x: x["r"]):  # ranges are intervals: their parts follow each other
             count.update(zip((words[i] for i in by_range[x["r"]]), _unpack(x["word_n"], np.int64).tolist()))
-            logp.append(np.frombuffer(x["logp"], np.float32))
+            logp.append(_unpack(x["logp"], np.float32))
         logp = np.concatenate(logp)
         slices, grams = list(_text_slices(ids, texts)), []
         for _, part in slices:
@@ -468,15 +470,16 @@ def _score(depth: int, ranges: int, n: int, v: int):
         codes = np.unique(np.concatenate([u for u, _, _ in grams]))
         below = n + ADD * (v + 1)
         value = {w: np.log10((c + ADD) / below) for w, c in count.items()}
+        seen = {w for w, c in count.items() if c}
         out = []
         for (some, part), (u, at, sizes) in zip(slices, grams):
             each = logp[np.searchsorted(codes, u)].astype(float)[at]
             each = np.add.reduceat(each, np.concatenate(([0], np.cumsum(sizes)[:-1])))
             for doc, text, score in zip(some, part, each.tolist()):
-                ws = Counter(_tokens(text))
-                base = sum(c * value[w] for w, c in ws.items())
-                known = sum(c for w, c in ws.items() if count[w])
-                out.append((doc, is_held_out(doc), sum(ws.values()), known, n, len(text), float(base), score, -score * np.log2(10) / (len(text) + 1)))
+                ws = _tokens(text)
+                base = sum(map(value.__getitem__, ws))
+                known = sum(map(seen.__contains__, ws))
+                out.append((doc, is_held_out(doc), len(ws), known, n, len(text), float(base), score, -score * np.log2(10) / (len(text) + 1)))
         return _table(out, schema)
 
     return run
@@ -500,6 +503,9 @@ def score(df: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES, ran
     nodes = parts.groupBy("d", "key").agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "below")))
     nodes = nodes.groupBy(F.col("key").bitwiseAND(F.lit(255)).alias("u")).applyInArrow(_weigh(depth), _WEIGHED)
     weighed = parts.select(F.col("r").alias("own"), "d", "key").join(nodes, ["d", "key"])
-    told = summed.drop("parts", "n", "known").groupBy("r").cogroup(weighed.groupBy("own")).applyInArrow(_tell(cuts, depth), _TOLD)
+    # Small beside the ranges, which Spark shuffles only where these are too large for its broadcast threshold.
+    weighed = written(weighed.groupBy("own").agg(F.collect_list(F.struct("d", "key", "zeros", "ones", "stay")).alias("weighed")), "weighed")
+    ranges = summed.drop("parts", "n", "known").join(weighed, F.col("r") == F.col("own"), "left").drop("own")
+    told = ranges.mapInArrow(_tell(cuts, depth), _TOLD)
     docs = blocks.select("block", "ids", "sizes", "texts", "words", "word_n")
     return docs.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_score(depth, len(cuts) + 1, known.n or 0, known.v or 0), _SCORED)
