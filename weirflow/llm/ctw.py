@@ -165,7 +165,7 @@ def _blocks(depth: int, block_bytes: int, every: int):
 
     def packed(block, ids, texts):
         words, word_n, codes, code_n = inventory(ids, texts, depth)
-        sample = codes[mix64(codes) % np.uint64(every) == 0] >> np.uint64(11)  # as exact as a double
+        sample = codes[mix64(codes) % np.uint64(every) == 0]
         sizes = np.array([len(t) for t in texts], np.int64)
         row = (block, ids, _pack(sizes), _squeezed(b"".join(texts)), _squeezed(b" ".join(words)), _pack(word_n), _pack(codes, True), _pack(code_n), sample.astype(np.int64))
         return _table([row], schema).to_batches()[0]
@@ -195,7 +195,8 @@ def range_cuts(blocks: DataFrame, every: int, size: int, depth: int) -> np.ndarr
     ranges = -(-sample.count() * every // size)
     if ranges <= 1:
         return np.zeros(0, np.uint64)
-    at = sample.approxQuantile("code", [i / ranges for i in range(1, ranges)], 1 / (8 * ranges))
+    high = sample.select(F.shiftrightunsigned("code", 11).alias("code"))  # as exact as a double
+    at = high.approxQuantile("code", [i / ranges for i in range(1, ranges)], 1 / (8 * ranges))
     low = np.uint64((1 << (64 - 8 * min(depth, CUT_BYTES))) - 1)
     cuts = np.unique((np.array(at).astype(np.uint64) << np.uint64(11)) & ~low)
     return cuts[cuts > 0]
