@@ -47,6 +47,14 @@ def test_salted_join_equals_join(spark, hot, how):
     assert want.exceptAll(joins.salted_join(hot, small, "user_id", ["event_id"], 7, how)).isEmpty()
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_salted_join_never_broadcasts_the_repeated_side(spark, hot, how):
+    small = spark.range(0, 500).select(F.col("id").alias("user_id"), (F.col("id") * 2).alias("x"))
+    got = joins.salted_join(hot, small, "user_id", ["event_id"], 7, how)
+    assert got.count() == hot.join(small, "user_id", how).count()
+    assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_hot_key_join_finds_the_hot_key(spark, hot):
     assert [r.user_id for r in joins.hot_keys(hot, "user_id", 0.1).collect()] == [0]
     small = spark.range(0, 500).select(F.col("id").alias("user_id"), (F.col("id") * 2).alias("x"))
