@@ -182,3 +182,74 @@ def test_metrics_merge_once_after_a_repeated_batch(spark, tmp_path):
         sinks.write_batch(outputs["metrics"](loans(rows)), number, folder)
     got = [tuple(r)[4:] for r in jobs.merged_metrics(spark.read.parquet(folder)).orderBy("window_start").collect()]
     assert got == [(3, 35.0, 600.0, 1), (1, 1.0, 600.0, 0)]
+
+
+def test_feed_is_one_unsorted_file_a_batch_in_small_row_groups(spark):
+    import pyarrow.parquet as pq
+
+    from weirflow.streaming import feeds
+
+    rows = spark.range(400_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"), F.timestamp_seconds(F.col("id") * 7919 % 400_000).alias("ts"))
+    stream = feeds.replay(rows, "ts", "one", closing=("ts",))
+    seen = []
+    base = sinks.drain_batches(stream, "one", lambda df, no, b: seen.append([r for r in df.agg(F.min("ts"), F.max("ts"), F.count("*")).first()]), mode="append")
+    assert base and [n for *_, n in seen][-1] == 1 and sum(n for *_, n in seen) == 400_001 and len(seen) == feeds.SLICES + 1
+    assert all(a[1] < b[0] for a, b in zip(seen, seen[1:]))
+    files = [f.removeprefix("file://").removeprefix("file:") for f in spark.read.parquet(stream._jdf.queryExecution().analyzed().toString().split("FileSource[")[1].split("]")[0]).inputFiles()]
+    assert len(files) == feeds.SLICES + 1 and max(pq.ParquetFile(f).num_row_groups for f in files) > 1
+
+
+def test_fraud_has_one_timer_and_few_state_calls_a_user():
+    from types import SimpleNamespace
+
+    from pyspark.sql import Row
+
+    from weirflow.streaming import fraud
+
+    class State:
+        """A user's state and timers in place of Spark's; counts the calls."""
+        calls, timers = 0, set()
+
+        def __init__(self, *_):
+            self.rows, self.value = [], None
+
+        def __getattribute__(self, name):
+            State.calls += not name.startswith("_") and name not in ("rows", "value")
+            return object.__getattribute__(self, name)
+
+        def exists(self):
+            return bool(self.rows) or self.value is not None
+
+        def appendValue(self, v):
+            self.rows.append(v)
+
+        def appendList(self, v):
+            self.rows += v
+
+        def put(self, v):
+            self.rows = list(v)
+
+        def clear(self):
+            self.rows = []
+
+        def get(self):
+            return self.value if self.value is not None else iter(self.rows) if self.rows else None
+
+        def update(self, v):
+            self.value = v
+
+    def remove(t):
+        State.timers.discard(t)
+
+    handle = SimpleNamespace(getListState=State, getValueState=State, registerTimer=State.timers.add, deleteTimer=remove)
+    p = fraud.FraudProcessor(1000, 3, 3.0)
+    p.init(handle)
+    clock = lambda ms: SimpleNamespace(getCurrentWatermarkInMs=lambda: ms)
+    rows = [Row(us=i * 1_000_000, event_id=i, kind="ab"[i % 2], cents=100, value=1.0 + 9 * (i == 150)) for i in range(1, 201)]
+    assert list(p.handleInputRows((7, True), iter(reversed(rows)), clock(0))) == []
+    assert State.timers == {2000} and State.calls < 6
+    State.timers.clear()
+    first = list(p.handleExpiredTimer((7, True), clock(100_000), SimpleNamespace(getExpiryTimeInMs=lambda: 2000)))
+    assert [(r.event_id, r.rules) for r in first] == [(1, "new_type"), (2, "new_type")] and State.timers == {101_000}
+    second = list(p.handleExpiredTimer((7, True), clock(300_000), SimpleNamespace(getExpiryTimeInMs=lambda: 101_000)))
+    assert [(r.event_id, r.rules) for r in second] == [(150, "amount")] and State.calls < 20

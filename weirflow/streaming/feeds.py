@@ -15,6 +15,7 @@ from weirflow.streaming.sources import parquet_stream
 SLICES = 6
 SLICE_ROWS = 5_000_000  # a micro-batch is one file: more rows make more of them
 CLOSING_DAYS = 400
+GROUP_BYTES = 2 << 20  # row groups: one file is read by several tasks
 
 
 def replay(rows: DataFrame, arrived: str, name: str, *, closing: tuple[str, ...] = (), slices: int = SLICES) -> DataFrame:
@@ -35,17 +36,18 @@ def replay(rows: DataFrame, arrived: str, name: str, *, closing: tuple[str, ...]
         late = F.timestamp_micros(F.lit(high + CLOSING_DAYS * 86_400_000_000))
         end = spark.range(1).select(*(late.alias(f.name) if f.name in closing else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields), F.lit(slices).alias("batch"))
         dealt = dealt.unionByName(end)
-    dealt.repartition("batch").write.partitionBy("batch").parquet(folder)
+    # One task and one file for each micro-batch, named by its number: no task holds several, and none sorts what it writes.
+    dealt.repartitionById(slices + len(closing[:1]), "batch").select(*rows.columns).write.option("parquet.block.size", GROUP_BYTES).parquet(folder)
     _order_files(spark, folder)
-    return parquet_stream(spark, f"{folder}/batch=*", rows.schema, files_per_trigger=1)
+    return parquet_stream(spark, folder, rows.schema, files_per_trigger=1)
 
 
 def _order_files(spark, folder: str) -> None:
     """Give the files the order of their batches as modification times, which is the order in which a stream reads them."""
     path = spark._jvm.org.apache.hadoop.fs.Path
-    pattern = path(f"{folder}/batch=*/*.parquet")
+    pattern = path(f"{folder}/part-*.parquet")
     fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = [(int(re.search(r"batch=(\d+)", s.getPath().toString())[1]), s.getPath()) for s in fs.globStatus(pattern)]
+    found = [(int(re.match(r"part-(\d+)", s.getPath().getName())[1]), s.getPath()) for s in fs.globStatus(pattern)]
     start = int(time.time() * 1000) - 1000 * (max((b for b, _ in found), default=0) + 1)
     for batch, file in found:
         fs.setTimes(file, start + 1000 * batch, -1)

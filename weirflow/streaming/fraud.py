@@ -1,31 +1,33 @@
 """Fraud rules on a stream, in one pass of keyed state.
 
 A user's events wait until the watermark has passed the end of their time bucket; then the bucket is judged in the order of event time.
-State per user is the waiting events, the running sum and number of amounts, and the types seen.
+State per user is the waiting events, the running sum and number of amounts, and the types seen. Each call of the state is a message
+to Spark and back, so events wait packed, those of a micro-batch in one entry.
 """
 
 from __future__ import annotations
 
+import pickle
+from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-WAITING = "us bigint, event_id bigint, kind string, cents bigint, value double"
 NO_TYPE = "\0"
 
 
 class FraudProcessor(StatefulProcessor):
+    """A user has one timer, at the end of the earliest bucket that waits; when it fires, all that the watermark has passed is judged."""
+
     def __init__(self, bucket_ms: int, burst: int, factor: float):
         self.bucket_ms, self.burst, self.factor = bucket_ms, burst, factor
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", WAITING)
-        self.totals = handle.getValueState("totals", "cents bigint, n bigint")
-        self.seen = handle.getMapState("seen", "kind string", "since bigint")
+        self.waiting = handle.getListState("waiting", "rows binary")
+        self.totals = handle.getValueState("totals", "cents bigint, n bigint, timer bigint, seen binary")
 
     def close(self) -> None:
         pass
@@ -33,39 +35,40 @@ class FraudProcessor(StatefulProcessor):
     def _end(self, us: int) -> int:
         return (us // 1000 // self.bucket_ms + 1) * self.bucket_ms
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         if not key[1]:
             return iter(())
         now = timerValues.getCurrentWatermarkInMs()
-        came = pd.concat(list(rows))
-        cents = came["cents"].astype("Int64")
-        new = [(us, i, kind, None if c is pd.NA else int(c), None if pd.isna(v) else v)
-               for us, i, kind, c, v in zip(came["us"].tolist(), came["event_id"].tolist(), came["kind"], cents, came["value"].tolist()) if self._end(us) > now]
+        new = [(r.us, r.event_id, r.kind, r.cents, r.value) for r in rows if self._end(r.us) > now]
         if new:
-            self.waiting.appendList(new)
-            for end in {self._end(us) for us, *_ in new}:
-                self.handle.registerTimer(end)
+            self.waiting.appendValue((pickle.dumps(new),))
+            first = self._end(min(r[0] for r in new))
+            cents, n, timer, seen = self.totals.get() or (0, 0, None, pickle.dumps(set()))
+            if timer is None or first < timer:
+                if timer is not None:
+                    self.handle.deleteTimer(timer)
+                self.handle.registerTimer(first)
+                self.totals.update((cents, n, first, seen))
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.waiting.exists():
-            return
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        held = [tuple(r) for r in self.waiting.get()]
-        due = sorted((r for r in held if self._end(r[0]) <= now), key=lambda r: r[:2])
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = timerValues.getCurrentWatermarkInMs()
+        held = [r for packed in self.waiting.get() for r in pickle.loads(packed[0])]
+        due = sorted((r for r in held if self._end(r[0]) <= now), key=lambda r: (r[0], r[1] is None, r[1]))
         rest = [r for r in held if self._end(r[0]) > now]
         if rest:
-            self.waiting.put(rest)
+            self.waiting.put([(pickle.dumps(rest),)])
+            timer = self._end(min(r[0] for r in rest))
+            self.handle.registerTimer(timer)
         else:
             self.waiting.clear()
-        if due:
-            yield from self._judged(key[0], due)
-
-    def _judged(self, user: int, due: list) -> Iterator[pd.DataFrame]:
-        sizes: dict[int, int] = {}
-        for us, *_ in due:
-            sizes[self._end(us)] = sizes.get(self._end(us), 0) + 1
-        total, n = self.totals.get() if self.totals.exists() else (0, 0)
+            timer = None
+        yield from self._judged(key[0], due, timer)
+
+    def _judged(self, user: int, due: list, timer: int | None) -> Iterator[Row]:
+        sizes = Counter(self._end(r[0]) for r in due)
+        total, n, _, packed = self.totals.get()
+        seen = pickle.loads(packed)
         found = []
         for us, event, kind, cents, value in due:
             rules = []
@@ -73,16 +76,15 @@ class FraudProcessor(StatefulProcessor):
                 rules.append("velocity")
             if n and value is not None and value > self.factor * (total / 100.0 / n):
                 rules.append("amount")
-            if not self.seen.containsKey((kind,)):
+            if kind not in seen:
                 rules.append("new_type")
-                self.seen.updateValue((kind,), (us,))
+                seen.add(kind)
             if cents is not None:
                 total, n = total + cents, n + 1
             if rules:
-                found.append((event, user, ",".join(rules)))
-        self.totals.update((total, n))
-        if found:
-            yield pd.DataFrame(found, columns=["event_id", "user_id", "rules"])
+                found.append(Row(event_id=event, user_id=user, rules=",".join(rules)))
+        self.totals.update((total, n, timer, pickle.dumps(seen)))
+        yield from found
 
 
 def fraud_stream(
@@ -96,4 +98,4 @@ def fraud_stream(
         F.when(known, F.col(user).cast("bigint")).otherwise(F.xxhash64(event_id, ts)).alias("user_id"), known.alias("known"), F.unix_micros(F.col(ts)).alias("us"), F.col(event_id).cast("bigint").alias("event_id"),
         F.coalesce(F.col(kind), F.lit(NO_TYPE)).alias("kind"), (F.col(value).cast("decimal(18,2)") * 100).cast("bigint").alias("cents"), F.col(value).cast("double").alias("value"))
     processor = FraudProcessor(bucket_seconds * 1000, burst, factor)
-    return rows.groupBy("user_id", "known").transformWithStateInPandas(processor, "event_id bigint, user_id bigint, rules string", "append", "eventTime")
+    return rows.groupBy("user_id", "known").transformWithState(processor, "event_id bigint, user_id bigint, rules string", "append", "eventTime")
