@@ -23,6 +23,7 @@ from weirflow.llm.common import documents, mix64, slices, small_batches, written
 LENGTH = 200
 GRAM = 32
 PART_BYTES = 8 << 20  # of stretches for one suffix array
+SORTED = 1 << 16  # suffixes that are compared whole at a time
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -132,6 +133,25 @@ def _cut(length: int):
     return run
 
 
+def sorted_suffixes(raw: bytes, at: np.ndarray, length: int) -> np.ndarray:
+    """The positions in the order of the ``length`` bytes that begin there. Their first eight bytes are sorted as numbers; whole strings
+    are made only for some neighbours in that order at a time, with all that share these bytes."""
+    if not len(at):
+        return at
+    head = np.ndarray((len(raw),), ">u8", raw + bytes(7), strides=(1,))[at].astype(np.uint64)
+    order = np.argsort(head, kind="stable")
+    at, head = at[order], head[order]
+    del order
+    edges = np.concatenate((np.flatnonzero(head[1:] != head[:-1]) + 1, [len(at)]))
+    del head
+    out, start = [], 0
+    while start < len(at):
+        end = int(edges[min(np.searchsorted(edges, start + SORTED), len(edges) - 1)])
+        out.append(np.array(sorted(at[start:end].tolist(), key=lambda i: raw[i : i + length]), np.int64))
+        start = end
+    return np.concatenate(out)
+
+
 def two_stage_order(data: np.ndarray, needed: np.ndarray, length: int) -> np.ndarray:
     """The needed positions in the order of their suffixes, exact in the first ``length`` bytes.
 
@@ -140,9 +160,7 @@ def two_stage_order(data: np.ndarray, needed: np.ndarray, length: int) -> np.nda
     n = len(data)
     small = smaller_than_successor(data)
     raw = data.tobytes()
-    direct = np.flatnonzero(needed & small).tolist()
-    direct.sort(key=lambda i: raw[i : i + length])
-    direct = np.array(direct, np.int64)
+    direct = sorted_suffixes(raw, np.flatnonzero(needed & small), length)
     larger = needed & ~small
     first = data[direct]
     cuts = np.searchsorted(first, np.arange(257))
