@@ -269,19 +269,20 @@ class Tree:
 
     ``codes`` are turned, sorted and distinct, and all that lie from ``low`` to ``high``. The node at depth d of an n-gram is told by
     the first d context bytes and the bits before the decision. ``cut[d]`` marks the nodes that reach beyond the range: their counts
-    are parts, ``below`` holds the logs of their children inside the range only, and they have no weights until ``fill``.
+    are parts, ``below`` holds the logs of their children inside the range only, and they have no weights until ``fill``. Keys and
+    ``below`` are held of the cut nodes only.
     """
 
     def __init__(self, codes: np.ndarray, counts: np.ndarray, depth: int, bit: int, low: int, high: int, kt: Estimator):
         self.depth = depth
         self.keys, self.zeros, self.ones, self.parents = {}, {}, {}, {}
-        self.stay, self.below, self.cut = {}, {}, {}
+        self.stay, self.below, self.cut, self.cut_keys = {}, {}, {}, {}
         x = codes & np.uint64(255)
         self.bits = ((x >> np.uint64(7 - bit)) & np.uint64(1)).astype(bool)
         group = codes >> np.uint64(8 - bit)
         starts = np.concatenate(([True], group[1:] != group[:-1]))
         first = np.flatnonzero(starts)
-        self.index = np.cumsum(starts) - 1  # of the deepest node of each n-gram
+        self.index = (np.cumsum(starts) - 1).astype(np.int32)  # of the deepest node of each n-gram
         self.ones[depth] = np.add.reduceat(counts * self.bits, first)
         self.zeros[depth] = np.add.reduceat(counts, first) - self.ones[depth]
         context, u = codes[first] >> np.uint64(8), (x[first] >> np.uint64(8 - bit)) | np.uint64(1 << bit)
@@ -292,12 +293,16 @@ class Tree:
             key = ((self.keys[d + 1] >> np.uint64(16)) << np.uint64(8)) | (self.keys[d + 1] & np.uint64(255))
             self.keys[d], up = np.unique(key, return_inverse=True)
             size = len(self.keys[d])
-            self.parents[d + 1] = up
+            self.parents[d + 1] = up.astype(np.int32)
             self.ones[d], self.zeros[d] = (np.bincount(up, v, size).astype(np.int64) for v in (self.ones[d + 1], self.zeros[d + 1]))
             self.below[d] = np.bincount(up, np.where(inside, weighted, 0.0), size)
             weighted, self.stay[d] = mixed(kt(self.zeros[d], self.ones[d]), self.below[d])
             inside = self._inside(d, low, high)
             self.cut[d] = np.flatnonzero(~inside)
+            self.below[d] = self.below[d][self.cut[d]]
+            self.cut_keys[d] = self.keys[d][self.cut[d]].astype(np.int64)
+            del self.keys[d + 1]
+        del self.keys
 
     @staticmethod
     def _key(context: np.ndarray, u: np.ndarray, d: int) -> np.ndarray:
@@ -313,14 +318,14 @@ class Tree:
         """(d, key, zeros, ones, below) of the cut nodes."""
         for d, at in self.cut.items():
             if len(at):
-                yield d, self.keys[d][at].astype(np.int64), self.zeros[d][at], self.ones[d][at], self.below[d][at]
+                yield d, self.cut_keys[d], self.zeros[d][at], self.ones[d][at], self.below[d]
 
     def fill(self, weighed: dict[int, tuple[np.ndarray, ...]]) -> None:
         """Set whole counts and weights of the cut nodes: per depth sorted keys, zeros, ones, weights of the own estimate."""
         for d, at in self.cut.items():
             if len(at):
                 keys, zeros, ones, stay = weighed[d]
-                found = np.searchsorted(keys, self.keys[d][at].astype(np.int64))
+                found = np.searchsorted(keys, self.cut_keys[d])
                 self.zeros[d][at], self.ones[d][at], self.stay[d][at] = zeros[found], ones[found], stay[found]
 
     def predict(self) -> np.ndarray:
@@ -431,6 +436,7 @@ def _tell(cuts: np.ndarray, depth: int):
                 tree = Tree(codes, counts, depth, bit, *_bounds(cuts, row["r"]), kt)
                 tree.fill(upper)
                 logp += np.log10(tree.predict())
+                del tree  # or it would stand beside the next
         logp = logp.astype(np.float32)
         for block, at, word_n in zip(row["blocks"], row["at"], row["word_n"]):
             yield block, row["r"], word_n, _pack(logp[_unpack(at, np.uint32, True)])
@@ -463,17 +469,15 @@ def _score(depth: int, ranges: int, n: int, v: int):
             count.update(zip((words[i] for i in by_range[x["r"]]), _unpack(x["word_n"], np.int64).tolist()))
             logp.append(_unpack(x["logp"], np.float32))
         logp = np.concatenate(logp)
-        slices, grams = list(_text_slices(ids, texts)), []
-        for _, part in slices:
-            code, sizes = ngrams(part, depth)
-            u, at = np.unique(turned(code), return_inverse=True)
-            grams.append((u, at.astype(np.int32), sizes))
-        codes = np.unique(np.concatenate([u for u, _, _ in grams]))
+        # N-grams are read twice: held for the whole block, their places would take most of the memory.
+        codes = np.unique(np.concatenate([np.unique(turned(ngrams(part, depth)[0])) for _, part in _text_slices(ids, texts)]))
         below = n + ADD * (v + 1)
         value = {w: np.log10((c + ADD) / below) for w, c in count.items()}
         seen = {w for w, c in count.items() if c}
         out = []
-        for (some, part), (u, at, sizes) in zip(slices, grams):
+        for some, part in _text_slices(ids, texts):
+            grams, sizes = ngrams(part, depth)
+            u, at = np.unique(turned(grams), return_inverse=True)
             each = logp[np.searchsorted(codes, u)].astype(float)[at]
             each = np.add.reduceat(each, np.concatenate(([0], np.cumsum(sizes)[:-1])))
             for doc, text, score in zip(some, part, each.tolist()):
