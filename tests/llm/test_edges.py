@@ -326,6 +326,17 @@ def test_scores_equal_a_plain_tree_wherever_it_is_cut(spark, depth, size):
     assert got == {i: pytest.approx(v, rel=1e-6) for i, v in want.items()}
 
 
+def test_scores_do_not_depend_on_slices(spark, monkeypatch):
+    """N-grams of a block are listed slice by slice, and each range merges those of all slices."""
+    texts = ["", "the cat sat on the mat", "The cat sat\n on the rat", "été à l'été", "zzz" * 20]
+    rows = [(i, texts[i % 5] + " the end" * (i % 4 == 0)) for i in range(40)]
+    monkeypatch.setattr(ctw, "SLICE_BYTES", 50)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    want = plain_tree_scores([(i, t.encode()) for i, t in rows], 5)
+    got = {r.doc_id: r.score for r in ctw.score(docs, depth=5, range_size=100).collect()}
+    assert got == {i: pytest.approx(v, rel=1e-6) for i, v in want.items()}
+
+
 def test_a_heavy_context_is_cut(spark):
     """N-grams of one context byte are spread over ranges: none holds much more than its share."""
     import random

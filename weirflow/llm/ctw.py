@@ -7,22 +7,24 @@ its children's, so all depths are mixed. The tree is learned from the training d
 N-grams are written with the context turned round, the last byte first, so that all n-grams below a node are one interval of codes.
 The work goes in five steps; n-grams stay packed, many to a row, in all of them:
 
-1. Each task packs its documents into blocks, and lists the words and n-grams of a block with their training counts.
-2. Quantiles of a sample of the n-grams cut the codes into ranges of about ``RANGE`` n-grams, whatever their contexts: a heavy context
-   is cut deeper. Cuts decide where work is done, not what comes out.
-3. Each range sums its counts and weighs its nodes, one decision at a time. Nodes that a cut goes through send up their part: counts
-   add up, and so do the logs of the children that lie inside a range.
+1. Each task packs its documents into blocks, with a sample of their n-grams.
+2. Quantiles of the sample cut the codes into ranges of about ``RANGE`` n-grams, whatever their contexts: a heavy context is cut deeper.
+   Cuts decide where work is done, not what comes out.
+3. Blocks list their words and n-grams with training counts, range by range. Each range sums its counts and weighs its nodes, one
+   decision at a time. Nodes that a cut goes through send up their part: counts add up, and so do the logs of the children that lie
+   inside a range.
 4. The cut nodes are weighed, each of the 255 decisions apart: a few nodes per cut.
 5. Each range mixes the estimates along the path of each n-gram and tells every block the numbers that it asked for.
 
-A range weighs its nodes again in step 5: keeping what step 3 knew would take eight numbers for each n-gram.
+A range weighs its nodes again in step 5: keeping what step 3 knew would take eight numbers for each n-gram. The n-grams of a block
+are read from its texts wherever they are needed: kept beside the texts they would double the blocks on disk.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import Counter
-from itertools import groupby
+from collections import defaultdict
+from itertools import count, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +32,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import documents, from_planes, mix64, planes, written
+from weirflow.llm.common import documents, from_planes, mix64, planes, small_batches, written
 
 DEPTH = 7  # context bytes: with the byte itself, all that a 64-bit code holds
 BLOCK_BYTES = 16 << 20
-SLICE_BYTES = 2 << 20
-RANGE = 1 << 20  # n-grams of a range: the distinct ones, and an eighth of those that the blocks send
+SLICE_BYTES = 1 << 20
+RANGE = 1 << 19  # n-grams of a range: the distinct ones, and an eighth of those that the blocks send
 REPEATS = 8
 SAMPLED = 256  # n-grams of a range that the cuts are made from
 MERGED = 3 << 20  # n-grams that wait to be summed
@@ -80,6 +82,22 @@ def _text_slices(ids: list, texts: list[bytes]):
         yield ids[start:], texts[start:]
 
 
+def _distinct(codes: np.ndarray) -> np.ndarray:
+    """Sorted and distinct. ``np.unique`` without counts hashes first, which takes many times the time and memory."""
+    codes = np.sort(codes)
+    return codes[np.concatenate(([True], codes[1:] != codes[:-1]))] if len(codes) else codes
+
+
+def _indexed(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted and distinct, and where in that each code stands."""
+    order = np.argsort(codes)
+    codes = codes[order]
+    first = np.concatenate(([True], codes[1:] != codes[:-1]))
+    at = np.empty(len(codes), np.int32)
+    at[order] = np.cumsum(first, dtype=np.int32) - 1
+    return codes[first], at
+
+
 def _sum_codes(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     if not sum(map(len, codes)):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -117,64 +135,71 @@ def _words_of(data: bytes, n: int) -> list[bytes]:
     return _restored(data).split(b" ") if n else []
 
 
-def _words_by_range(words: list[bytes], ranges: int) -> list[list[int]]:
+def _words_by_range(words: list[bytes], ranges: int) -> list[np.ndarray]:
     """Positions of the words that belong to each range."""
-    out: list[list[int]] = [[] for _ in range(ranges)]
-    for i, w in enumerate(words):
-        out[zlib.crc32(w) % ranges].append(i)
-    return out
+    r = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % np.uint32(ranges)
+    order = np.argsort(r, kind="stable")
+    return np.split(order, np.searchsorted(r[order], np.arange(1, ranges)))
 
 
 def _tokens(text: bytes) -> list[bytes]:
     return [*text.lower().split(), b""]  # the empty word is the end
 
 
-def inventory(ids: list, texts: list[bytes], depth: int) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct words (sorted) and turned n-grams (sorted) of a block, each with training counts."""
-    trained, held = Counter(), set()
-    codes, counts, pending = [], [], 0
+def _numbered(texts: list[bytes], number: defaultdict) -> tuple[np.ndarray, np.ndarray]:
+    """How many tokens each text has, and their numbers; new words are numbered as they come."""
+    ids = [np.fromiter(map(number.__getitem__, ws), np.int32, len(ws)) for ws in map(_tokens, texts)]
+    return np.array([len(x) for x in ids]), np.concatenate(ids)
+
+
+def inventory(ids: list, texts: list[bytes], depth: int) -> tuple[list[bytes], np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """The distinct words (as they come) and turned n-grams (sorted, one array for each slice of texts), with training counts."""
+    number = defaultdict(count().__next__)
+    trained, codes, counts = [np.zeros(0, np.int32)], [], []
     for some, part in _text_slices(ids, texts):
-        out = [is_held_out(i) for i in some]
-        for text, h in zip(part, out):
-            ws = _tokens(text)
-            held.update(ws) if h else trained.update(ws)
+        out = np.array([is_held_out(i) for i in some])
+        sizes, ws = _numbered(part, number)
+        trained.append(ws[np.repeat(~out, sizes)])
         for flag in (False, True):
             chosen = [t for t, h in zip(part, out) if h == flag]
             if chosen:
                 u, n = np.unique(turned(ngrams(chosen, depth)[0]), return_counts=True)
                 codes.append(u)
-                counts.append(n * (not flag))
-                pending += len(u)
-        if pending > MERGED:  # summed up as they come: memory follows the distinct ones
-            codes, counts = ([x] for x in _sum_codes(codes, counts))
-            pending = 0
-    words = sorted(trained.keys() | held)
-    return words, np.array([trained[w] for w in words], np.int64), *_sum_codes(codes, counts)
+                counts.append((n * (not flag)).astype(np.int32))
+    return list(number), np.bincount(np.concatenate(trained), minlength=len(number)), codes, counts
+
+
+def _ends(codes: np.ndarray, cuts: np.ndarray) -> list[int]:
+    """Where in sorted codes the ranges begin and end."""
+    return [0, *np.searchsorted(codes, cuts).tolist(), len(codes)]
 
 
 def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.table([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
-_BLOCK = "block long, ids array<long>, sizes binary, texts binary, words binary, word_n binary, codes binary, code_n binary, sample array<long>"
+_BLOCK = "block long, ids array<long>, sizes binary, texts binary, sample array<long>"
 
 
 def _blocks(depth: int, block_bytes: int, every: int):
-    kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 6, pa.list_(pa.int64())]
+    kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 2, pa.list_(pa.int64())]
     schema = pa.schema([(c.split()[0], t) for c, t in zip(_BLOCK.split(", "), kinds)])
 
     def packed(block, ids, texts):
-        words, word_n, codes, code_n = inventory(ids, texts, depth)
-        sample = codes[mix64(codes) % np.uint64(every) == 0]
+        sample = [np.zeros(0, np.uint64)]
+        for _, part in _text_slices(ids, texts):
+            codes = ngrams(part, depth)[0]
+            sample.append(_distinct(turned(codes[mix64(codes) % np.uint64(every) == 0])))
         sizes = np.array([len(t) for t in texts], np.int64)
-        row = (block, ids, _pack(sizes), _squeezed(b"".join(texts)), _squeezed(b" ".join(words)), _pack(word_n), _pack(codes, True), _pack(code_n), sample.astype(np.int64))
+        row = (block, ids, _pack(sizes), _squeezed(b"".join(texts)), _distinct(np.concatenate(sample)).astype(np.int64))
         return _table([row], schema).to_batches()[0]
 
     def run(batches):
         first, n, size = TaskContext.get().partitionId() << 32, 0, 0
         ids, texts = [], []
         for batch in batches:
-            for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
+            for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary())):
+                text = text.as_py()
                 if size and size + len(text) > block_bytes:
                     yield packed(first + n, ids, texts)
                     ids, texts, n, size = [], [], n + 1, 0
@@ -187,6 +212,13 @@ def _blocks(depth: int, block_bytes: int, every: int):
     return run
 
 
+def _documents_of(row: dict) -> tuple[list, list[bytes]]:
+    """Ids and texts of a block."""
+    data = _restored(row["texts"])
+    ends = np.cumsum(_unpack(row["sizes"], np.int64)).tolist()
+    return row["ids"], [data[a:b] for a, b in zip([0, *ends], ends)]
+
+
 def range_cuts(blocks: DataFrame, every: int, size: int, depth: int) -> np.ndarray:
     """First codes of all ranges but the first, from the sampled n-grams; one number per range comes to the driver."""
     sent = blocks.select("block", F.explode("sample").alias("code"))
@@ -205,23 +237,21 @@ def range_cuts(blocks: DataFrame, every: int, size: int, depth: int) -> np.ndarr
 _ASKED = "r long, block long, words binary, word_n binary, codes binary, code_n binary"
 
 
-def _ask(cuts: np.ndarray):
+def _ask(cuts: np.ndarray, depth: int = DEPTH):
     schema = pa.schema([(c.split()[0], t) for c, t in zip(_ASKED.split(", "), [pa.int64(), pa.int64(), *[pa.binary()] * 4])])
 
+    def asked(row):
+        words, word_n, codes, code_n = inventory(*_documents_of(row), depth)
+        ends = [_ends(u, cuts) for u in codes]
+        for r, mine in enumerate(_words_by_range(words, len(cuts) + 1)):
+            some, n = _sum_codes(*([x[e[r] : e[r + 1]] for x, e in zip(of, ends)] for of in (codes, code_n)))
+            if len(mine) or len(some):
+                yield r, row["block"], _squeezed(b" ".join(map(words.__getitem__, mine.tolist()))), _pack(word_n[mine]), _pack(some, True), _pack(n)
+
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                word_n = _unpack(row["word_n"], np.int64)
-                words = _words_of(row["words"], len(word_n))
-                codes, code_n = _unpack(row["codes"], np.uint64, True), _unpack(row["code_n"], np.int64)
-                ends = [0, *np.searchsorted(codes, cuts).tolist(), len(codes)]
-                rows = []
-                for r, mine in enumerate(_words_by_range(words, len(cuts) + 1)):
-                    a, b = ends[r], ends[r + 1]
-                    if mine or b > a:
-                        some = _squeezed(b" ".join(words[i] for i in mine))
-                        rows.append((r, row["block"], some, _pack(word_n[mine]), _pack(codes[a:b], True), _pack(code_n[a:b])))
-                yield from _table(rows, schema).to_batches()
+            for i in range(batch.num_rows):  # one block at a time
+                yield from _table(list(asked(batch.slice(i, 1).to_pylist()[0])), schema).to_batches()
 
     return run
 
@@ -274,8 +304,8 @@ class Tree:
     """
 
     def __init__(self, codes: np.ndarray, counts: np.ndarray, depth: int, bit: int, low: int, high: int, kt: Estimator):
-        self.depth = depth
-        self.keys, self.zeros, self.ones, self.parents = {}, {}, {}, {}
+        self.depth, self.bit, self.codes = depth, bit, codes
+        keys, self.zeros, self.ones, self.parents = {}, {}, {}, {}
         self.stay, self.below, self.cut, self.cut_keys = {}, {}, {}, {}
         x = codes & np.uint64(255)
         self.bits = ((x >> np.uint64(7 - bit)) & np.uint64(1)).astype(bool)
@@ -286,34 +316,40 @@ class Tree:
         self.ones[depth] = np.add.reduceat(counts * self.bits, first)
         self.zeros[depth] = np.add.reduceat(counts, first) - self.ones[depth]
         context, u = codes[first] >> np.uint64(8), (x[first] >> np.uint64(8 - bit)) | np.uint64(1 << bit)
-        self.keys[depth] = self._key(context, u, depth)
+        keys[depth] = self._key(context, u, depth)
         weighted = kt(self.zeros[depth], self.ones[depth])
         inside = np.ones(len(first), bool)
         for d in range(depth - 1, -1, -1):  # a node's counts are the sums of its children's
-            key = ((self.keys[d + 1] >> np.uint64(16)) << np.uint64(8)) | (self.keys[d + 1] & np.uint64(255))
-            self.keys[d], up = np.unique(key, return_inverse=True)
-            size = len(self.keys[d])
+            key = ((keys[d + 1] >> np.uint64(16)) << np.uint64(8)) | (keys[d + 1] & np.uint64(255))
+            keys[d], up = np.unique(key, return_inverse=True)
+            size = len(keys[d])
             self.parents[d + 1] = up.astype(np.int32)
             self.ones[d], self.zeros[d] = (np.bincount(up, v, size).astype(np.int64) for v in (self.ones[d + 1], self.zeros[d + 1]))
             self.below[d] = np.bincount(up, np.where(inside, weighted, 0.0), size)
             weighted, self.stay[d] = mixed(kt(self.zeros[d], self.ones[d]), self.below[d])
-            inside = self._inside(d, low, high)
+            inside = self._inside(keys[d], d, low, high)
             self.cut[d] = np.flatnonzero(~inside)
             self.below[d] = self.below[d][self.cut[d]]
-            self.cut_keys[d] = self.keys[d][self.cut[d]].astype(np.int64)
-            del self.keys[d + 1]
-        del self.keys
+            self.cut_keys[d] = keys[d][self.cut[d]].astype(np.int64)
+            del keys[d + 1]
 
     @staticmethod
     def _key(context: np.ndarray, u: np.ndarray, d: int) -> np.ndarray:
         return ((context >> np.uint64(8 * (7 - d))) << np.uint64(8)) | u
 
-    def _inside(self, d: int, low: int, high: int) -> np.ndarray:
+    @staticmethod
+    def _inside(keys: np.ndarray, d: int, low: int, high: int) -> np.ndarray:
         if d == 0:  # the root is weighed with the cut nodes, however many ranges there are
-            return np.zeros(len(self.keys[0]), bool)
-        start = (self.keys[d] >> np.uint64(8)) << np.uint64(64 - 8 * d)
+            return np.zeros(len(keys), bool)
+        start = (keys >> np.uint64(8)) << np.uint64(64 - 8 * d)
         return (start >= np.uint64(low)) & ((start | np.uint64((1 << (64 - 8 * d)) - 1)) <= np.uint64(high))
 
+    @property
+    def keys(self) -> dict[int, np.ndarray]:
+        """Keys of all nodes, made when they are asked for."""
+        u = ((self.codes & np.uint64(255)) >> np.uint64(8 - self.bit)) | np.uint64(1 << self.bit)
+        return {d: np.unique(self._key(self.codes >> np.uint64(8), u, d)) for d in range(self.depth + 1)}
+
     def parts(self):
         """(d, key, zeros, ones, below) of the cut nodes."""
         for d, at in self.cut.items():
@@ -363,31 +399,29 @@ def _sum_range(cuts: np.ndarray, depth: int):
     schema = pa.schema([(c, t) for c, t in zip("r codes code_n blocks at word_n n known parts".split(), kinds)])
 
     def run(key, table):
-        r, words = key[0].as_py(), Counter()
-        codes, counts = [], []
+        r, number = key[0].as_py(), defaultdict(count().__next__)
+        codes, counts, words, word_n = [], [], [], []
         columns = [table[c] for c in ("words", "word_n", "codes", "code_n")]
         for i in range(table.num_rows):
-            text, word_n, some, n = (c[i].as_py() for c in columns)
-            word_n = _unpack(word_n, np.int64)
-            for w, c in zip(_words_of(text, len(word_n)), word_n.tolist()):
-                if c:
-                    words[w] += c
+            text, m, some, n = (c[i].as_py() for c in columns)
+            word_n.append(_unpack(m, np.int64))
+            words.append(np.fromiter(map(number.__getitem__, _words_of(text, len(word_n[-1]))), np.int32, len(word_n[-1])))
             codes.append(_unpack(some, np.uint64, True))
             counts.append(_unpack(n, np.int64))
             if sum(map(len, codes[1:])) > MERGED:
                 codes, counts = ([x] for x in _sum_codes(codes, counts))
         codes, counts = _sum_codes(codes, counts)
-        at, word_n = [], []
-        for i in range(table.num_rows):
-            at.append(_pack(np.searchsorted(codes, _unpack(columns[2][i].as_py(), np.uint64, True)).astype(np.uint32), True))
-            mine = _words_of(columns[0][i].as_py(), len(_unpack(columns[1][i].as_py(), np.int64)))
-            word_n.append(_pack(np.array([words[w] for w in mine], np.int64)))
+        total = np.zeros(len(number), np.int64)
+        for mine, m in zip(words, word_n):  # a block lists a word once
+            total[mine] += m
+        word_n = [_pack(total[mine]) for mine in words]
+        at = [_pack(np.searchsorted(codes, _unpack(some.as_py(), np.uint64, True)).astype(np.uint32), True) for some in columns[2]]
         parts, kt = [], Estimator()
         if len(codes):
             for bit in range(8):
                 for d, *values in Tree(codes, counts, depth, bit, *_bounds(cuts, r), kt).parts():
                     parts += [dict(zip(("d", "key", "zeros", "ones", "below"), (d, *v))) for v in zip(*(x.tolist() for x in values))]
-        return _table([(r, _pack(codes, True), _pack(counts), table["block"].to_pylist(), at, word_n, sum(words.values()), len(words), parts)], schema)
+        return _table([(r, _pack(codes, True), _pack(counts), table["block"].to_pylist(), at, word_n, int(total.sum()), int(np.count_nonzero(total)), parts)], schema)
 
     return run
 
@@ -452,39 +486,51 @@ def _tell(cuts: np.ndarray, depth: int):
 _SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, n_bytes long, base_score double, score double, bits_per_byte double"
 
 
-def _score(depth: int, ranges: int, n: int, v: int):
+def _score(depth: int, cuts: np.ndarray, n: int, v: int):
     kinds = [pa.int64(), pa.bool_(), *[pa.int64()] * 4, *[pa.float64()] * 3]
     schema = pa.schema([(c.split()[0], t) for c, t in zip(_SCORED.split(", "), kinds)])
+    below = n + ADD * (v + 1)
+
+    def by_words(slices, told):
+        """Per slice, the number of tokens, that of known ones, and the base score of each text."""
+        number = defaultdict(count().__next__)
+        numbered = [_numbered(part, number) for _, part in slices]
+        seen = np.zeros(len(number), np.int64)
+        by_range = _words_by_range(list(number), len(cuts) + 1)
+        for r, word_n in zip(told["r"].to_pylist(), told["word_n"]):
+            seen[by_range[r]] = _unpack(word_n.as_py(), np.int64)
+        value = np.log10((seen + ADD) / below)
+        for size, ws in numbered:
+            text = np.repeat(np.arange(len(size)), size)
+            yield size, np.bincount(text, seen[ws] > 0, len(size)).astype(np.int64), np.bincount(text, value[ws], len(size))
+
+    def by_ngrams(slices, told):
+        """Per slice, the score of each text."""
+        codes, ends, index, sizes = [], [], [], []
+        for _, part in slices:
+            grams, size = ngrams(part, depth)
+            u, at = _indexed(turned(grams))
+            codes.append(u)
+            ends.append(_ends(u, cuts))
+            index.append(at)
+            sizes.append(size)
+        logp = [np.empty(len(u), np.float32) for u in codes]
+        for r, found in zip(told["r"].to_pylist(), told["logp"]):  # one range at a time
+            mine, found = [u[e[r] : e[r + 1]] for u, e in zip(codes, ends)], _unpack(found.as_py(), np.float32)
+            whole = _distinct(np.concatenate(mine))
+            for some, p, e in zip(mine, logp, ends):
+                p[e[r] : e[r + 1]] = found[np.searchsorted(whole, some)]
+        for p, at, size in zip(logp, index, sizes):
+            yield np.add.reduceat(p[at].astype(float), np.concatenate(([0], np.cumsum(size)[:-1])))
 
     def run(docs, told):
-        row = docs.to_pylist()[0]
-        ids, data = row["ids"], _restored(row["texts"])
-        ends = np.cumsum(_unpack(row["sizes"], np.int64)).tolist()
-        texts = [data[a:b] for a, b in zip([0, *ends], ends)]
-        words = _words_of(row["words"], len(_unpack(row["word_n"], np.int64)))
-        del data, row
-        by_range = _words_by_range(words, ranges)
-        count, logp = {}, []
-        for x in sorted(told.to_pylist(), key=lambda x: x["r"]):  # ranges are intervals: their parts follow each other
-            count.update(zip((words[i] for i in by_range[x["r"]]), _unpack(x["word_n"], np.int64).tolist()))
-            logp.append(_unpack(x["logp"], np.float32))
-        logp = np.concatenate(logp)
-        # N-grams are read twice: held for the whole block, their places would take most of the memory.
-        codes = np.unique(np.concatenate([np.unique(turned(ngrams(part, depth)[0])) for _, part in _text_slices(ids, texts)]))
-        below = n + ADD * (v + 1)
-        value = {w: np.log10((c + ADD) / below) for w, c in count.items()}
-        seen = {w for w, c in count.items() if c}
+        ids, texts = _documents_of(docs.to_pylist()[0])
+        slices = list(_text_slices(ids, texts))
+        words = list(by_words(slices, told))  # done before the n-grams take memory
         out = []
-        for some, part in _text_slices(ids, texts):
-            grams, sizes = ngrams(part, depth)
-            u, at = np.unique(turned(grams), return_inverse=True)
-            each = logp[np.searchsorted(codes, u)].astype(float)[at]
-            each = np.add.reduceat(each, np.concatenate(([0], np.cumsum(sizes)[:-1])))
-            for doc, text, score in zip(some, part, each.tolist()):
-                ws = _tokens(text)
-                base = sum(map(value.__getitem__, ws))
-                known = sum(map(seen.__contains__, ws))
-                out.append((doc, is_held_out(doc), len(ws), known, n, len(text), float(base), score, -score * np.log2(10) / (len(text) + 1)))
+        for (some, part), of, scores in zip(slices, words, by_ngrams(slices, told)):
+            for doc, text, size, known, base, score in zip(some, part, *(x.tolist() for x in of), scores.tolist()):
+                out.append((doc, is_held_out(doc), size, known, n, len(text), base, score, -score * np.log2(10) / (len(text) + 1)))
         return _table(out, schema)
 
     return run
@@ -498,10 +544,11 @@ def score(df: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES, ran
     as they stand there. Without training documents every bit has probability one half and N is 0. An empty table gives no rows.
     Texts are read whole, however long; other columns are not read. The log of each byte's probability is rounded to 24 bits.
     """
+    small_batches(df.sparkSession)
     every = max(1, range_size // SAMPLED)
     blocks = written(documents(df).mapInArrow(_blocks(depth, block_bytes, every), _BLOCK), "blocks")
     cuts = range_cuts(blocks, every, range_size, depth)
-    asked = blocks.select("block", "words", "word_n", "codes", "code_n").mapInArrow(_ask(cuts), _ASKED)
+    asked = blocks.drop("sample").mapInArrow(_ask(cuts, depth), _ASKED)
     summed = written(asked.groupBy("r").applyInArrow(_sum_range(cuts, depth), _SUMMED), "ranges")
     known = summed.agg(F.sum("n").alias("n"), F.sum("known").alias("v")).first()
     parts = summed.select("r", F.inline("parts"))
@@ -512,5 +559,5 @@ def score(df: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES, ran
     weighed = written(weighed.groupBy("own").agg(F.collect_list(F.struct("d", "key", "zeros", "ones", "stay")).alias("weighed")), "weighed")
     ranges = summed.drop("parts", "n", "known").join(weighed, F.col("r") == F.col("own"), "left").drop("own")
     told = ranges.mapInArrow(_tell(cuts, depth), _TOLD)
-    docs = blocks.select("block", "ids", "sizes", "texts", "words", "word_n")
-    return docs.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_score(depth, len(cuts) + 1, known.n or 0, known.v or 0), _SCORED)
+    docs = blocks.drop("sample")
+    return docs.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_score(depth, cuts, known.n or 0, known.v or 0), _SCORED)
